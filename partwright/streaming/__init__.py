@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no streaming operator (no readStream, watermark, window or
+state anywhere; its "stream" is the read transport of a batch job), so this
+package is intentionally empty.  See README, "Not built".
+"""
