@@ -146,43 +146,53 @@ def _write(df: DataFrame, path: str, keys, overwrite: str, max_records_per_file,
     writer.parquet(path)
 
 
-def export_partitioned(
+@dataclass
+class PreparedExport:
+    """The frame to hand to the writer, plus what the planning pass learnt."""
+
+    frame: DataFrame
+    result: ExportResult
+    observation: Observation | None = None
+    _cached: DataFrame | None = None
+
+    def release(self) -> None:
+        if self._cached is not None:
+            self._cached.unpersist()
+            self._cached = None
+
+
+def _check_keys(df: DataFrame, keys) -> None:
+    bad = df.select(F.count_if(_null_or_empty(df, keys)).alias("bad")).first()["bad"]
+    if bad:
+        raise ValueError(f"{bad} rows have a NULL or empty partition key {keys}")
+
+
+def prepare_export(
     df: DataFrame,
-    path: str,
     *,
-    overwrite: str,
     keys: Sequence[str] = KEYS,
     strategy: str = "split",
     max_rows_per_file: int | None = None,
     num_partitions: int | None = None,
     sort_within: Sequence[str] = (),
-    max_records_per_file: int | None = None,
-    compression: str | None = None,
     validate_keys: bool = True,
     observe_sum: str | None = None,
-) -> ExportResult:
-    """Write ``df`` as Hive-partitioned Parquet below ``path``.
+) -> PreparedExport:
+    """Plan the export: the returned ``frame`` is what the writer consumes.
 
-    ``overwrite`` has no default on purpose: ``"all"`` replaces the whole
-    target (static), ``"partitions"`` replaces only the key directories that
-    receive rows (dynamic).  NULL or empty key values are refused before
-    anything is written (they would be conflated in
-    ``__HIVE_DEFAULT_PARTITION__``).  ``observe_sum`` names a column whose sum
-    (and the row count) is recorded while writing, without another scan.
+    For ``strategy="split"`` this runs the one planning job (per-tuple row
+    counts over the key columns only) and keeps that small result cached
+    until :meth:`PreparedExport.release`.  ``frame.explain()`` shows the
+    exchange the write will use.
     """
-    if overwrite not in OVERWRITE_MODES:
-        raise ValueError(f"overwrite must be one of {sorted(OVERWRITE_MODES)}, got {overwrite!r}")
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     keys = tuple(keys)
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"key columns not in frame: {missing}")
-    if overwrite == "all":
-        assert_not_reading_target(df, path)
-
     spark = df.sparkSession
-    result = ExportResult(path=path, keys=keys, overwrite=overwrite, strategy=strategy)
+    result = ExportResult(path="", keys=keys, overwrite="", strategy=strategy)
     body = df
     observation = None
     if observe_sum is not None:
@@ -192,66 +202,117 @@ def export_partitioned(
             F.count(F.lit(1)).alias("rows"),
             F.sum(F.col(observe_sum)).alias("sum"),
         )
+    parallelism = spark.sparkContext.defaultParallelism
 
-    if strategy == "split":
-        thr = max_rows_per_file or default_max_rows_per_file(df.schema)
-        result.max_rows_per_file = thr
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).persist()
-        try:
-            stats = counts.agg(
-                F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
-                F.count(F.lit(1)).alias("tuples"),
-                F.count_if(F.col(_N) > thr).alias("hot"),
-                F.coalesce(
-                    F.sum(F.when(F.col(_N) > thr, F.ceil(F.col(_N) / F.lit(thr)) - 1)), F.lit(0)
-                ).alias("extra_slots"),
-                F.coalesce(F.sum(F.when(_null_or_empty(counts, keys), F.col(_N))), F.lit(0)).alias("bad"),
-            ).first()
-            if validate_keys and stats["bad"]:
-                raise ValueError(f"{stats['bad']} rows have a NULL or empty partition key {keys}")
-            result.rows, result.tuples, result.hot_tuples = stats["rows"], stats["tuples"], stats["hot"]
-            parallelism = spark.sparkContext.defaultParallelism
-            slots = max(1, stats["tuples"] + int(stats["extra_slots"]))
-            n = num_partitions or max(1, min(slots, max(2 * parallelism, math.ceil(stats["rows"] / thr))))
-            result.num_tasks = n
-            if stats["hot"]:
-                hot = counts.filter(F.col(_N) > thr).select(
-                    *keys, F.ceil(F.col(_N) / F.lit(thr)).cast("long").alias(_SPLITS)
-                )
-                if stats["hot"] <= BROADCAST_ROW_LIMIT:
-                    hot = F.broadcast(hot)
-                body_cols = [F.col(c) for c in df.columns]
-                body = body.join(hot, on=list(keys), how="left").select(
-                    *df.columns,
-                    F.when(F.col(_SPLITS).isNull(), F.lit(0))
-                    .otherwise(F.pmod(F.xxhash64(F.spark_partition_id(), *body_cols), F.col(_SPLITS)))
-                    .alias(_SALT),
-                )
-                out = body.repartition(n, *keys, _SALT).drop(_SALT)
-            else:
-                out = body.repartition(n, *keys)
-            if sort_within:
-                out = out.sortWithinPartitions(*keys, *sort_within)
-            _write(out, path, keys, overwrite, max_records_per_file, compression)
-        finally:
-            counts.unpersist()
-    else:
+    if strategy != "split":
         if validate_keys:
-            bad = df.select(F.count_if(_null_or_empty(df, keys)).alias("bad")).first()["bad"]
-            if bad:
-                raise ValueError(f"{bad} rows have a NULL or empty partition key {keys}")
+            _check_keys(df, keys)
         if strategy == "hash":
-            n = num_partitions or spark.sparkContext.defaultParallelism * 2
+            n = num_partitions or 2 * parallelism
             out = body.repartition(n, *keys)
             result.num_tasks = n
         else:
             out = body.hint("rebalance", *keys)
         if sort_within:
             out = out.sortWithinPartitions(*keys, *sort_within)
-        _write(out, path, keys, overwrite, max_records_per_file, compression)
+        return PreparedExport(out, result, observation)
+
+    thr = max_rows_per_file or default_max_rows_per_file(df.schema)
+    result.max_rows_per_file = thr
+    # One row per key tuple; partial aggregation runs before the shuffle.
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).persist()
+    try:
+        stats = counts.agg(
+            F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("tuples"),
+            F.count_if(F.col(_N) > thr).alias("hot"),
+            F.coalesce(
+                F.sum(F.when(F.col(_N) > thr, F.ceil(F.col(_N) / F.lit(thr)) - 1)), F.lit(0)
+            ).alias("extra_slots"),
+            F.coalesce(F.sum(F.when(_null_or_empty(counts, keys), F.col(_N))), F.lit(0)).alias("bad"),
+        ).first()
+        if validate_keys and stats["bad"]:
+            raise ValueError(f"{stats['bad']} rows have a NULL or empty partition key {keys}")
+    except Exception:
+        counts.unpersist()
+        raise
+    result.rows, result.tuples, result.hot_tuples = stats["rows"], stats["tuples"], stats["hot"]
+    slots = max(1, stats["tuples"] + int(stats["extra_slots"]))
+    # Enough tasks to keep every core busy on a file-count-bound write, and
+    # about one task per max_rows_per_file rows on a large one.
+    n = num_partitions or max(1, min(slots, max(2 * parallelism, math.ceil(stats["rows"] / thr))))
+    result.num_tasks = n
+    if not stats["hot"]:
+        counts.unpersist()
+        out = body.repartition(n, *keys)
+        cached = None
+    else:
+        hot = counts.filter(F.col(_N) > thr).select(
+            *keys, F.ceil(F.col(_N) / F.lit(thr)).cast("long").alias(_SPLITS)
+        )
+        # hot tuples <= rows / max_rows_per_file, so this side is small.
+        if stats["hot"] <= BROADCAST_ROW_LIMIT:
+            hot = F.broadcast(hot)
+        body_cols = [F.col(c) for c in df.columns]
+        salted = body.join(hot, on=list(keys), how="left").select(
+            *df.columns,
+            F.when(F.col(_SPLITS).isNull(), F.lit(0))
+            .otherwise(F.pmod(F.xxhash64(F.spark_partition_id(), *body_cols), F.col(_SPLITS)))
+            .alias(_SALT),
+        )
+        out = salted.repartition(n, *keys, _SALT).drop(_SALT)
+        cached = counts
+    if sort_within:
+        out = out.sortWithinPartitions(*keys, *sort_within)
+    return PreparedExport(out, result, observation, cached)
 
-    if observation is not None:
-        result.observed = dict(observation.get)
+
+def export_partitioned(
+    df: DataFrame,
+    path: str,
+    *,
+    overwrite: str,
+    keys: Sequence[str] = KEYS,
+    strategy: str = "split",
+    max_rows_per_file: int | None = None,
+    num_partitions: int | None = None,
+    sort_within: Sequence[str] = (),
+    max_records_per_file: int | None = None,
+    compression: str | None = None,
+    validate_keys: bool = True,
+    observe_sum: str | None = None,
+) -> ExportResult:
+    """Write ``df`` as Hive-partitioned Parquet below ``path``.
+
+    ``overwrite`` has no default on purpose: ``"all"`` replaces the whole
+    target (static), ``"partitions"`` replaces only the key directories that
+    receive rows (dynamic).  NULL or empty key values are refused before
+    anything is written (they would be conflated in
+    ``__HIVE_DEFAULT_PARTITION__``).  ``observe_sum`` names a column whose sum
+    (and the row count) is recorded while writing, without another scan.
+    """
+    if overwrite not in OVERWRITE_MODES:
+        raise ValueError(f"overwrite must be one of {sorted(OVERWRITE_MODES)}, got {overwrite!r}")
+    if overwrite == "all":
+        assert_not_reading_target(df, path)
+    prep = prepare_export(
+        df,
+        keys=keys,
+        strategy=strategy,
+        max_rows_per_file=max_rows_per_file,
+        num_partitions=num_partitions,
+        sort_within=sort_within,
+        validate_keys=validate_keys,
+        observe_sum=observe_sum,
+    )
+    try:
+        _write(prep.frame, path, prep.result.keys, overwrite, max_records_per_file, compression)
+    finally:
+        prep.release()
+    result = prep.result
+    result.path, result.overwrite = path, overwrite
+    if prep.observation is not None:
+        result.observed = dict(prep.observation.get)
         if result.rows is None:
             result.rows = result.observed.get("rows")
     return result

@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import extract_keys, unescape
 from ..operators.metrics import EXPORT_METRIC_NAMES, source_metrics
@@ -94,9 +95,22 @@ def export_metrics(
     terr: str = "terr_cd",
     store: str = "store_id",
     amount: str = "total_amt",
+    amount_type: T.DataType | None = None,
 ) -> DataFrame:
-    """A5 over the export, read back with declared key types (partition-pruned)."""
-    df = read_partitioned(spark, path, keys=keys)
+    """A5 over the export, read back with declared key types (partition-pruned).
+
+    ``amount_type`` declares the amount column so only it is read from the
+    file bodies and the footers need not be sampled for a schema first (one
+    listing of the tree instead of two).
+    """
+    body = None
+    if amount_type is not None:
+        if isinstance(amount_type, T.DecimalType):
+            # widest precision at the same scale: files written with any
+            # narrower precision still read (decimal widening), none fail.
+            amount_type = T.DecimalType(38, amount_type.scale)
+        body = T.StructType([T.StructField(amount, amount_type, True)])
+    df = read_partitioned(spark, path, keys=keys, body_schema=body)
     if extract_date is not None:
         df = df.filter(date_equals(date_column, extract_date))
     return source_metrics(df, terr=terr, store=store, amount=amount, names=EXPORT_METRIC_NAMES)
@@ -122,7 +136,15 @@ def reconcile(
     src = source if extract_date is None else source.filter(date_equals(date_column, extract_date))
     left = source_metrics(src, terr=terr, store=store, amount=amount)
     right = export_metrics(
-        spark, path, extract_date, keys=keys, date_column=date_column, terr=terr, store=store, amount=amount
+        spark,
+        path,
+        extract_date,
+        keys=keys,
+        date_column=date_column,
+        terr=terr,
+        store=store,
+        amount=amount,
+        amount_type=source.schema[amount].dataType,
     )
     both = left.crossJoin(right)
     rows_match = F.col("total_rows") == F.col("exported_rows")

@@ -28,6 +28,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
