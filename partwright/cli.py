@@ -1,6 +1,6 @@
 """V5 — ``spark-submit`` entry point.
 
-    spark-submit -m partwright.cli --source_table T --extract_date 2026-03-01 \
+    spark-submit partwright/cli.py --source_table T --extract_date 2026-03-01 \
         --output_path s3a://bucket/export_sales [--format parquet] \
         [--keys terr_cd,store_id,extract_date] [--overwrite all|partitions] \
         [--verify]
@@ -13,12 +13,16 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from .plans.reconcile import layout_report, partition_distribution, reconcile
-from .plans.report import DEFAULT_SLA_SECONDS, run_export
-from .session import build_session
-from .sources.warehouse import read_source
+if __package__ in (None, ""):  # run as a script by spark-submit
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from partwright.plans.reconcile import layout_report, partition_distribution, reconcile  # noqa: E402
+from partwright.plans.report import DEFAULT_SLA_SECONDS, run_export  # noqa: E402
+from partwright.session import build_session  # noqa: E402
+from partwright.sources.warehouse import read_source  # noqa: E402
 
 
 def parse_args(argv=None) -> argparse.Namespace:
