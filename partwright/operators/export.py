@@ -34,7 +34,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,6 +177,7 @@ def prepare_export(
     sort_within: Sequence[str] = (),
     validate_keys: bool = True,
     observe_sum: str | None = None,
+    require: Column | None = None,
 ) -> PreparedExport:
     """Plan the export: the returned ``frame`` is what the writer consumes.
 
@@ -184,6 +185,10 @@ def prepare_export(
     counts over the key columns only) and keeps that small result cached
     until :meth:`PreparedExport.release`.  ``frame.explain()`` shows the
     exchange the write will use.
+
+    ``require`` is a predicate over key columns only that every row must
+    satisfy (e.g. "the date is D"); it is checked on the per-tuple counts, so
+    it costs no extra scan, and a violation raises before anything is written.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -207,6 +212,10 @@ def prepare_export(
     if strategy != "split":
         if validate_keys:
             _check_keys(df, keys)
+        if require is not None:
+            failing = df.select(F.count_if(~F.coalesce(require, F.lit(False))).alias("n")).first()["n"]
+            if failing:
+                raise ValueError(f"{failing} rows fail the required condition")
         if strategy == "hash":
             n = num_partitions or 2 * parallelism
             out = body.repartition(n, *keys)
@@ -230,9 +239,15 @@ def prepare_export(
                 F.sum(F.when(F.col(_N) > thr, F.ceil(F.col(_N) / F.lit(thr)) - 1)), F.lit(0)
             ).alias("extra_slots"),
             F.coalesce(F.sum(F.when(_null_or_empty(counts, keys), F.col(_N))), F.lit(0)).alias("bad"),
+            F.coalesce(
+                F.sum(F.when(~F.coalesce(require, F.lit(False)), F.col(_N))) if require is not None else F.lit(0),
+                F.lit(0),
+            ).alias("failing"),
         ).first()
         if validate_keys and stats["bad"]:
             raise ValueError(f"{stats['bad']} rows have a NULL or empty partition key {keys}")
+        if stats["failing"]:
+            raise ValueError(f"{stats['failing']} rows fail the required condition")
     except Exception:
         counts.unpersist()
         raise
@@ -267,6 +282,30 @@ def prepare_export(
     return PreparedExport(out, result, observation, cached)
 
 
+def write_prepared(
+    prep: PreparedExport,
+    path: str,
+    *,
+    overwrite: str,
+    max_records_per_file: int | None = None,
+    compression: str | None = None,
+) -> ExportResult:
+    """Write a :class:`PreparedExport` and release its cached planning data."""
+    if overwrite not in OVERWRITE_MODES:
+        raise ValueError(f"overwrite must be one of {sorted(OVERWRITE_MODES)}, got {overwrite!r}")
+    try:
+        _write(prep.frame, path, prep.result.keys, overwrite, max_records_per_file, compression)
+    finally:
+        prep.release()
+    result = prep.result
+    result.path, result.overwrite = path, overwrite
+    if prep.observation is not None:
+        result.observed = dict(prep.observation.get)
+        if result.rows is None:
+            result.rows = result.observed.get("rows")
+    return result
+
+
 def export_partitioned(
     df: DataFrame,
     path: str,
@@ -305,17 +344,9 @@ def export_partitioned(
         validate_keys=validate_keys,
         observe_sum=observe_sum,
     )
-    try:
-        _write(prep.frame, path, prep.result.keys, overwrite, max_records_per_file, compression)
-    finally:
-        prep.release()
-    result = prep.result
-    result.path, result.overwrite = path, overwrite
-    if prep.observation is not None:
-        result.observed = dict(prep.observation.get)
-        if result.rows is None:
-            result.rows = result.observed.get("rows")
-    return result
+    return write_prepared(
+        prep, path, overwrite=overwrite, max_records_per_file=max_records_per_file, compression=compression
+    )
 
 
 def export_single_partition(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import paths
 from ..functions.dates import date_literal, parse_date
 from ..functions.keys import escape_value
-from .export import export_partitioned
+from .export import prepare_export, write_prepared
 
 
 def replace_date(
@@ -29,44 +29,43 @@ def replace_date(
     keys: Sequence[str] = ("extract_date",),
     date_column: str = "extract_date",
     sort_within: Sequence[str] = (),
-    strategy: str = "split",
     max_rows_per_file: int | None = None,
 ) -> dict:
     """Replace date ``extract_date`` under ``path`` by ``rows``.
 
-    ``rows`` must all carry that date; a pre-check (one scan of the date
-    column only) refuses anything else before the target is modified.
-    ``keys`` are the dataset's partition columns; the date column must be the
-    first one, so the date is one top-level directory.
+    ``rows`` must all carry that date.  The check rides on the export's
+    per-tuple counting pass (the date is a key), so it costs no extra scan,
+    and a violation raises before the target is modified.  ``keys`` are the
+    dataset's partition columns; the date column must be the first one, so
+    the date is one top-level directory.
     """
     keys = tuple(keys)
     if keys[0] != date_column:
         raise ValueError("the date column must be the first partition key")
     day = parse_date(extract_date)
-    check = rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~F.col(date_column).eqNullSafe(date_literal(day))).alias("other"),
-    ).first()
-    if check["other"]:
-        raise ValueError(f"{check['other']} replacement rows are not dated {day}")
+    try:
+        prep = prepare_export(
+            rows,
+            keys=keys,
+            sort_within=sort_within,
+            max_rows_per_file=max_rows_per_file,
+            require=F.col(date_column).eqNullSafe(date_literal(day)),
+        )
+    except ValueError as exc:
+        if "required condition" in str(exc):
+            raise ValueError(f"replacement rows are not all dated {day}: {exc}") from None
+        raise
     target_dir = f"{path.rstrip('/')}/{date_column}={escape_value(day)}"
-    if check["rows"] == 0:
+    if not prep.result.rows:
+        prep.release()
         removed = paths.delete_tree(rows.sparkSession, target_dir)
         return {"rows": 0, "removed_partition": removed}
-    res = export_partitioned(
-        rows,
-        path,
-        overwrite="partitions",
-        keys=keys,
-        sort_within=sort_within,
-        strategy=strategy,
-        max_rows_per_file=max_rows_per_file,
-    )
+    res = write_prepared(prep, path, overwrite="partitions")
     # Keys below the date level that no longer receive rows must not survive
     # the replacement either (DELETE removes the whole date).
     if len(keys) > 1:
         _drop_stale_subdirs(rows, path, keys, date_column, day)
-    return {"rows": check["rows"], "removed_partition": False, "export": res}
+    return {"rows": res.rows, "removed_partition": False, "export": res}
 
 
 def _drop_stale_subdirs(rows: DataFrame, path: str, keys, date_column, day) -> None:

@@ -50,7 +50,7 @@ def test_replace_refuses_rows_of_other_dates(spark, small_frame, tmp_path):
     _table(spark, small_frame, path)
     before = parquet_files(path)
     mixed = small_frame(rows_for(KEYS2, D1) + rows_for(KEYS2, D2))
-    with pytest.raises(ValueError, match="not dated"):
+    with pytest.raises(ValueError, match="not all dated"):
         replace_date(mixed, path, D1)
     assert parquet_files(path) == before
 
