@@ -34,6 +34,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--option", action="append", default=[], help="source option key=value")
     p.add_argument("--keys", default="terr_cd,store_id,extract_date")
     p.add_argument("--date_column", default="extract_date")
+    p.add_argument("--amount_column", default="total_amt", help="decimal column summed by the checks")
     p.add_argument("--overwrite", choices=["all", "partitions"], default="all")
     p.add_argument("--strategy", choices=["split", "hash", "rebalance"], default="split")
     p.add_argument("--max_rows_per_file", type=int, default=None)
@@ -63,6 +64,7 @@ def main(argv=None) -> int:
         overwrite=args.overwrite,
         strategy=args.strategy,
         max_rows_per_file=args.max_rows_per_file,
+        amount=args.amount_column,
         sla_seconds=args.sla_seconds,
     )
     print(_json(report))
@@ -70,7 +72,15 @@ def main(argv=None) -> int:
         return 0
     source = read_source(spark, args.source_table, fmt=args.format, options=options)
     layout = layout_report(spark, args.output_path, keys)
-    recon = reconcile(spark, source, args.output_path, args.extract_date, keys=keys, date_column=args.date_column)
+    recon = reconcile(
+        spark,
+        source,
+        args.output_path,
+        args.extract_date,
+        keys=keys,
+        date_column=args.date_column,
+        amount=args.amount_column,
+    )
     dated = source.filter(source[args.date_column] == args.extract_date)
     dist = partition_distribution(spark, args.output_path, dated, keys, max_files=1 << 30)
     ok = True

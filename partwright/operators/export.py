@@ -108,8 +108,14 @@ def assert_not_reading_target(df: DataFrame, path: str) -> None:
     """Refuse a whole-target overwrite of a path the frame reads from.
 
     A static overwrite deletes the target before the scan runs; Spark does
-    not refuse it for path writes and the data would be lost.
+    not refuse it for path writes and the data would be lost.  When the
+    target does not exist yet there is nothing to lose and the input file
+    list (held by the driver's file index) is not walked.
     """
+    from .. import paths
+
+    if not paths.exists(df.sparkSession, path):
+        return
     target = _normalise(path)
     for input_file in df.inputFiles():
         src = _normalise(input_file)

@@ -28,6 +28,15 @@ from ..sources.inventory import list_files_or_empty
 from ..sources.warehouse import date_equals
 
 
+def _levels(keys: Sequence[str], terr: str | None, store: str | None) -> tuple[str, str]:
+    """The two key levels the reports count (territory and store by default).
+
+    Defaults to the first two keys (the first one twice for a single key).
+    """
+    keys = list(keys)
+    return terr or keys[0], store or (keys[1] if len(keys) > 1 else keys[0])
+
+
 def file_inventory(spark: SparkSession, path: str, keys: Sequence[str] = KEYS) -> tuple[DataFrame, bool]:
     """Every ``*.parquet`` file below ``path`` with its decoded key values.
 
@@ -55,8 +64,8 @@ def layout_report(
     spark: SparkSession,
     path: str,
     keys: Sequence[str] = KEYS,
-    terr: str = "terr_cd",
-    store: str = "store_id",
+    terr: str | None = None,
+    store: str | None = None,
     n_samples: int = 3,
 ) -> DataFrame:
     """V1 — one row: ``parquet_files, valid_files, distinct_territories,
@@ -66,6 +75,7 @@ def layout_report(
     Samples are the first ``n_samples`` partition paths in order (a bounded
     top-N, not a collection of all partitions).
     """
+    terr, store = _levels(keys, terr, store)
     inv, exists = file_inventory(spark, path, keys)
     counts = inv.agg(
         F.count(F.lit(1)).alias("parquet_files"),
@@ -92,8 +102,8 @@ def export_metrics(
     *,
     keys: Sequence[str] = KEYS,
     date_column: str = "extract_date",
-    terr: str = "terr_cd",
-    store: str = "store_id",
+    terr: str | None = None,
+    store: str | None = None,
     amount: str = "total_amt",
     amount_type: T.DataType | None = None,
 ) -> DataFrame:
@@ -103,6 +113,7 @@ def export_metrics(
     file bodies and the footers need not be sampled for a schema first (one
     listing of the tree instead of two).
     """
+    terr, store = _levels(keys, terr, store)
     body = None
     if amount_type is not None:
         if isinstance(amount_type, T.DecimalType):
@@ -124,8 +135,8 @@ def reconcile(
     *,
     keys: Sequence[str] = KEYS,
     date_column: str = "extract_date",
-    terr: str = "terr_cd",
-    store: str = "store_id",
+    terr: str | None = None,
+    store: str | None = None,
     amount: str = "total_amt",
 ) -> DataFrame:
     """V2 — one row with both metric records and the verdict.
@@ -133,6 +144,7 @@ def reconcile(
     ``source`` is the source table; the date filter is applied to both sides.
     Sums are compared exactly (decimal), not with a float tolerance.
     """
+    terr, store = _levels(keys, terr, store)
     src = source if extract_date is None else source.filter(date_equals(date_column, extract_date))
     left = source_metrics(src, terr=terr, store=store, amount=amount)
     right = export_metrics(

@@ -206,3 +206,20 @@ def test_empty_frame_static_overwrite_empties_target(spark, small_frame, tmp_pat
     export_partitioned(small_frame(rows_for(KEYS2, D1)).filter(F.lit(False)), out, overwrite="all")
     assert parquet_files(out) == []
     shutil.rmtree(out)
+
+
+def test_rebalance_strategy_splits_hot_bucket_with_aqe(spark, small_frame, tmp_path):
+    rows = rows_for([("HOT", "S1")], D1, n_per_key=4000) + rows_for(
+        [("T1", f"S{i}") for i in range(5)], D1, n_per_key=2, start=10000
+    )
+    df = small_frame(rows, num_partitions=8)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        out = str(tmp_path / "rb")
+        export_partitioned(df, out, overwrite="all", strategy="rebalance")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = [f for f in parquet_files(out) if "terr_cd=HOT" in str(f)]
+    assert len(hot) >= 2
+    assert read_partitioned(spark, out).count() == 4010

@@ -94,3 +94,20 @@ def test_cancelling_changes_pass_the_aggregate_check(spark, small_frame, tmp_pat
     out2 = str(tmp_path / "out2")
     export_partitioned(moved, out2, overwrite="all")
     assert reconcile(spark, src, out2, D1).first()["all_ok"]
+
+
+def test_checks_work_with_other_keys(spark, tmp_path):
+    from partwright.sources.views import table
+
+    li = table(spark, "/root/testdata/sf0.001", "lineitem").withColumn(
+        "amount", F.col("l_extendedprice").cast("decimal(18,2)")
+    ).withColumn("day", F.col("l_shipdate").cast("date"))
+    one_day = li.select("day").orderBy("day").first()[0]
+    keys = ("day", "l_returnflag")
+    out = str(tmp_path / "li")
+    export_partitioned(li, out, overwrite="all", keys=keys)
+    rec = reconcile(spark, li, out, one_day, keys=keys, date_column="day", amount="amount").first()
+    assert rec["all_ok"] and rec["total_rows"] > 0
+    lay = layout_report(spark, out, keys).first()
+    assert lay["layout_ok"]
+    assert partition_distribution(spark, out, li, keys).first()["ok"]
