@@ -33,6 +33,7 @@ from partwright.plans.reconcile import (  # noqa: E402
     partition_distribution,
     partition_files,
     reconcile,
+    verify_export,
 )
 from partwright.plans.report import run_export  # noqa: E402
 from partwright.session import scratch_path  # noqa: E402
@@ -182,6 +183,11 @@ def q_partition_distribution(spark, sf_dir):
     return partition_distribution(spark, path, _day(spark, sf_dir))
 
 
+def q_verify_export(spark, sf_dir):
+    path = _exported_day(spark, sf_dir, "verify_export")
+    return verify_export(spark, _view(spark, sf_dir), path, DAY)
+
+
 def q_not_null_contract(spark, sf_dir):
     return not_null_contract(_view(spark, sf_dir), keys=("terr_cd", "store_id", "extract_date"))
 
@@ -229,6 +235,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layout_check": q_layout_check,
     "reconcile": q_reconcile,
     "partition_distribution": q_partition_distribution,
+    "verify_export": q_verify_export,
     "not_null_contract": q_not_null_contract,
     "clustered_write": q_clustered_write,
     "run_report_counts": q_run_report_counts,
@@ -348,6 +355,28 @@ SELECT COUNT(*)::BIGINT AS partitions, COUNT(*)::BIGINT AS files, 1::BIGINT AS m
        0::BIGINT AS missing_partitions, 0::BIGINT AS extra_partitions,
        COUNT(*) > 0 AS files_ok, true AS dirs_match, COUNT(*) > 0 AS ok
 FROM k""",
+    "verify_export": _S
+    + f""", k AS (SELECT DISTINCT terr_cd, store_id,
+                'terr_cd=' || terr_cd || '/store_id=' || store_id || '/extract_date=' || CAST(extract_date AS VARCHAR) AS p
+           FROM s WHERE extract_date = {_D}),
+     l AS (SELECT COUNT(*)::BIGINT AS parquet_files, COUNT(*)::BIGINT AS valid_files,
+                  COUNT(DISTINCT terr_cd)::BIGINT AS distinct_territories,
+                  COUNT(DISTINCT store_id)::BIGINT AS distinct_stores,
+                  (SELECT string_agg(p, ',' ORDER BY p) FROM (SELECT p FROM k ORDER BY p LIMIT 3)) AS sample_partitions,
+                  COUNT(*) > 0 AS layout_ok,
+                  COUNT(*)::BIGINT AS partitions, COUNT(*)::BIGINT AS files,
+                  1::BIGINT AS max_files_per_partition, 0::BIGINT AS missing_partitions,
+                  0::BIGINT AS extra_partitions, COUNT(*) > 0 AS files_ok, true AS dirs_match, COUNT(*) > 0 AS ok
+           FROM k),
+     a AS (SELECT {_SRC_METRICS} FROM s WHERE extract_date = {_D}),
+     b AS (SELECT {_EXP_METRICS} FROM s WHERE extract_date = {_D})
+SELECT l.*, a.*, b.*, (total_rows - exported_rows)::BIGINT AS row_diff,
+       total_rows = exported_rows AS rows_match, terr_count = exported_terr AS territories_match,
+       store_count = exported_stores AS stores_match, sum_total_amt = exported_total_amt AS sum_match,
+       total_rows = exported_rows AND terr_count = exported_terr AND store_count = exported_stores
+           AND sum_total_amt = exported_total_amt AS all_ok,
+       true AS verified
+FROM l, a, b""",
     "not_null_contract": _S
     + """SELECT COUNT(*)::BIGINT AS total_rows,
        COUNT_IF(terr_cd IS NULL OR terr_cd = '')::BIGINT AS null_terr_cd,

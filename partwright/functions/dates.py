@@ -20,8 +20,11 @@ def date_literal(value) -> Column:
 
 
 def midnight(date_col: Column) -> Column:
-    """``TIMESTAMP(date)``: midnight of the date in the session zone (UTC)."""
-    return date_col.cast("timestamp")
+    """``TIMESTAMP(date)``: the instant of UTC midnight of the date.
+
+    Built from epoch seconds, so it does not depend on the session zone.
+    """
+    return F.timestamp_seconds(F.unix_date(date_col).cast("long") * F.lit(86400))
 
 
 def add_seconds(ts: Column, seconds: Column) -> Column:

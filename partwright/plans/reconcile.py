@@ -67,6 +67,7 @@ def layout_report(
     terr: str | None = None,
     store: str | None = None,
     n_samples: int = 3,
+    inventory: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """V1 — one row: ``parquet_files, valid_files, distinct_territories,
     distinct_stores, sample_partitions, layout_ok``.
@@ -76,7 +77,7 @@ def layout_report(
     top-N, not a collection of all partitions).
     """
     terr, store = _levels(keys, terr, store)
-    inv, exists = file_inventory(spark, path, keys)
+    inv, exists = inventory or file_inventory(spark, path, keys)
     counts = inv.agg(
         F.count(F.lit(1)).alias("parquet_files"),
         F.count_if("valid").alias("valid_files"),
@@ -174,9 +175,14 @@ def reconcile(
     )
 
 
-def partition_files(spark: SparkSession, path: str, keys: Sequence[str] = KEYS) -> DataFrame:
+def partition_files(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = KEYS,
+    inventory: tuple[DataFrame, bool] | None = None,
+) -> DataFrame:
     """Per partition directory: decoded keys, ``n_files``, ``bytes``."""
-    inv, _ = file_inventory(spark, path, keys)
+    inv, _ = inventory or file_inventory(spark, path, keys)
     return inv.filter("valid").groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("bytes")
     )
@@ -188,6 +194,7 @@ def partition_distribution(
     source: DataFrame,
     keys: Sequence[str] = KEYS,
     max_files: int = 1,
+    inventory: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """V3 — one row: ``partitions, files, max_files_per_partition,
     missing_partitions, extra_partitions, files_ok, dirs_match, ok``.
@@ -197,7 +204,7 @@ def partition_distribution(
     two tuple-level sets; key values are compared in their directory text
     form.  ``files_ok`` holds when no partition has more than ``max_files``.
     """
-    per_dir = partition_files(spark, path, keys).select(*keys, "n_files")
+    per_dir = partition_files(spark, path, keys, inventory).select(*keys, "n_files")
     src_keys = source.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
     joined = src_keys.withColumn("_src", F.lit(True)).join(
         per_dir.withColumn("_dir", F.lit(True)), on=list(keys), how="full_outer"
@@ -212,3 +219,68 @@ def partition_distribution(
     files_ok = (F.col("max_files_per_partition") <= max_files) & (F.col("partitions") > 0)
     dirs_ok = (F.col("missing_partitions") == 0) & (F.col("extra_partitions") == 0)
     return out.select("*", files_ok.alias("files_ok"), dirs_ok.alias("dirs_match"), (files_ok & dirs_ok).alias("ok"))
+
+
+def verify_export(
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    extract_date=None,
+    *,
+    keys: Sequence[str] = KEYS,
+    date_column: str = "extract_date",
+    amount: str = "total_amt",
+    max_files: int = 1,
+) -> DataFrame:
+    """V1 + V2 + V3 in one row, listing the export tree once.
+
+    The inventory (one row per file) is cached for the two checks that use
+    it and released afterwards.  Reconciliation runs only when the layout is
+    valid (its fields are NULL otherwise).  ``verified`` = layout ok,
+    reconciliation ok, directory set matches, files per partition within
+    ``max_files``.
+    """
+    inv, exists = file_inventory(spark, path, keys)
+    inv = inv.persist()
+    try:
+        layout = layout_report(spark, path, keys, inventory=(inv, exists))
+        dated = source if extract_date is None else source.filter(date_equals(date_column, extract_date))
+        dist = partition_distribution(spark, path, dated, keys, max_files, inventory=(inv, exists))
+        lay_row, dist_row = layout.first(), dist.first()
+    finally:
+        inv.unpersist()
+    head = list(layout.schema.fields) + [T.StructField(f.name, f.dataType, True) for f in dist.schema.fields]
+    values = list(lay_row) + list(dist_row)
+    if lay_row["layout_ok"]:
+        rec = reconcile(spark, source, path, extract_date, keys=keys, date_column=date_column, amount=amount)
+        rec_row = rec.first()
+        tail = [T.StructField(f.name, f.dataType, True) for f in rec.schema.fields]
+        values += list(rec_row)
+        verified = bool(rec_row["all_ok"] and dist_row["ok"])
+    else:
+        tail = list(_RECONCILE_FIELDS)
+        values += [None] * len(tail)
+        verified = False
+    schema = T.StructType(head + tail + [T.StructField("verified", T.BooleanType(), False)])
+    return spark.createDataFrame([tuple(values) + (verified,)], schema)
+
+
+_RECONCILE_FIELDS = [
+    T.StructField(name, dt, True)
+    for name, dt in [
+        ("total_rows", T.LongType()),
+        ("terr_count", T.LongType()),
+        ("store_count", T.LongType()),
+        ("sum_total_amt", T.DecimalType(38, 2)),
+        ("exported_rows", T.LongType()),
+        ("exported_terr", T.LongType()),
+        ("exported_stores", T.LongType()),
+        ("exported_total_amt", T.DecimalType(38, 2)),
+        ("row_diff", T.LongType()),
+        ("rows_match", T.BooleanType()),
+        ("territories_match", T.BooleanType()),
+        ("stores_match", T.BooleanType()),
+        ("sum_match", T.BooleanType()),
+        ("all_ok", T.BooleanType()),
+    ]
+]
