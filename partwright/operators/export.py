@@ -26,6 +26,11 @@ Layout strategies (``strategy=``):
 ``"rebalance"``
     ``REBALANCE(keys)``: adaptive execution coalesces small buckets and splits
     any bucket above the advisory partition size by map ranges.
+``"direct"``
+    No exchange: every input task writes its own rows into the directories
+    they belong to.  For table writes (date replacement, table inserts)
+    where the number of files per partition is not part of the contract;
+    files per directory are bounded by the input task count.
 """
 
 from __future__ import annotations
@@ -43,7 +48,7 @@ from ..schema import KEYS
 from ..session import to_local
 
 OVERWRITE_MODES = {"all": "static", "partitions": "dynamic"}
-STRATEGIES = ("split", "hash", "rebalance")
+STRATEGIES = ("split", "hash", "rebalance", "direct")
 
 DEFAULT_TARGET_FILE_BYTES = 512 * 1024 * 1024
 # Hot-tuple tables above this many rows are joined without a broadcast hint.
@@ -167,12 +172,6 @@ class PreparedExport:
             self._cached = None
 
 
-def _check_keys(df: DataFrame, keys) -> None:
-    bad = df.select(F.count_if(_null_or_empty(df, keys)).alias("bad")).first()["bad"]
-    if bad:
-        raise ValueError(f"{bad} rows have a NULL or empty partition key {keys}")
-
-
 def prepare_export(
     df: DataFrame,
     *,
@@ -184,6 +183,7 @@ def prepare_export(
     validate_keys: bool = True,
     observe_sum: str | None = None,
     require: Column | None = None,
+    fill_cores: bool = False,
 ) -> PreparedExport:
     """Plan the export: the returned ``frame`` is what the writer consumes.
 
@@ -192,6 +192,10 @@ def prepare_export(
     until :meth:`PreparedExport.release`.  ``frame.explain()`` shows the
     exchange the write will use.
 
+    ``fill_cores`` lowers the per-file row bound when there are fewer file
+    slots than twice the cores, so a table write with few large tuples (one
+    date) still uses every core; a tuple then becomes several files.
+
     ``require`` is a predicate over key columns only that every row must
     satisfy (e.g. "the date is D"); it is checked on the per-tuple counts, so
     it costs no extra scan, and a violation raises before anything is written.
@@ -216,33 +220,43 @@ def prepare_export(
     parallelism = spark.sparkContext.defaultParallelism
 
     if strategy != "split":
-        if validate_keys:
-            _check_keys(df, keys)
-        if require is not None:
-            failing = df.select(F.count_if(~F.coalesce(require, F.lit(False))).alias("n")).first()["n"]
-            if failing:
-                raise ValueError(f"{failing} rows fail the required condition")
+        if validate_keys or require is not None:
+            # One pass over the key columns for both checks and the row count.
+            check = df.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(_null_or_empty(df, keys)).alias("bad") if validate_keys else F.lit(0).alias("bad"),
+                F.count_if(~F.coalesce(require, F.lit(False))).alias("failing")
+                if require is not None
+                else F.lit(0).alias("failing"),
+            ).first()
+            if check["bad"]:
+                raise ValueError(f"{check['bad']} rows have a NULL or empty partition key {keys}")
+            if check["failing"]:
+                raise ValueError(f"{check['failing']} rows fail the required condition")
+            result.rows = check["rows"]
         if strategy == "hash":
             n = num_partitions or 2 * parallelism
             out = body.repartition(n, *keys)
             result.num_tasks = n
-        else:
+        elif strategy == "rebalance":
             out = body.hint("rebalance", *keys)
+        else:
+            out = body
         if sort_within:
             out = out.sortWithinPartitions(*keys, *sort_within)
         return PreparedExport(out, result, observation)
 
     thr = max_rows_per_file or default_max_rows_per_file(df.schema)
-    result.max_rows_per_file = thr
     # One row per key tuple; partial aggregation runs before the shuffle.
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).persist()
-    try:
-        stats = counts.agg(
+
+    def summarise(limit: int):
+        return counts.agg(
             F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
             F.count(F.lit(1)).alias("tuples"),
-            F.count_if(F.col(_N) > thr).alias("hot"),
+            F.count_if(F.col(_N) > limit).alias("hot"),
             F.coalesce(
-                F.sum(F.when(F.col(_N) > thr, F.ceil(F.col(_N) / F.lit(thr)) - 1)), F.lit(0)
+                F.sum(F.when(F.col(_N) > limit, F.ceil(F.col(_N) / F.lit(limit)) - 1)), F.lit(0)
             ).alias("extra_slots"),
             F.coalesce(F.sum(F.when(_null_or_empty(counts, keys), F.col(_N))), F.lit(0)).alias("bad"),
             F.coalesce(
@@ -250,13 +264,22 @@ def prepare_export(
                 F.lit(0),
             ).alias("failing"),
         ).first()
+
+    try:
+        stats = summarise(thr)
         if validate_keys and stats["bad"]:
             raise ValueError(f"{stats['bad']} rows have a NULL or empty partition key {keys}")
         if stats["failing"]:
             raise ValueError(f"{stats['failing']} rows fail the required condition")
+        slots = stats["tuples"] + int(stats["extra_slots"])
+        if fill_cores and stats["rows"] and slots < 2 * parallelism:
+            # Re-plan on the cached counts (tuple-sized, no new scan).
+            thr = max(1, min(thr, math.ceil(stats["rows"] / (2 * parallelism))))
+            stats = summarise(thr)
     except Exception:
         counts.unpersist()
         raise
+    result.max_rows_per_file = thr
     result.rows, result.tuples, result.hot_tuples = stats["rows"], stats["tuples"], stats["hot"]
     slots = max(1, stats["tuples"] + int(stats["extra_slots"]))
     # Enough tasks to keep every core busy on a file-count-bound write, and

@@ -30,6 +30,7 @@ def replace_date(
     date_column: str = "extract_date",
     sort_within: Sequence[str] = (),
     max_rows_per_file: int | None = None,
+    strategy: str = "direct",
 ) -> dict:
     """Replace date ``extract_date`` under ``path`` by ``rows``.
 
@@ -38,6 +39,12 @@ def replace_date(
     and a violation raises before the target is modified.  ``keys`` are the
     dataset's partition columns; the date column must be the first one, so
     the date is one top-level directory.
+
+    The target is a table, not an export: how many files a date has is not
+    part of its contract.  The default ``strategy="direct"`` therefore writes
+    without any exchange (each input task writes its own rows; no shuffle of
+    the data at all).  With ``"split"`` the rows are co-located per tuple as
+    in the export, spread over all cores when a date has few tuples.
     """
     keys = tuple(keys)
     if keys[0] != date_column:
@@ -50,6 +57,8 @@ def replace_date(
             sort_within=sort_within,
             max_rows_per_file=max_rows_per_file,
             require=F.col(date_column).eqNullSafe(date_literal(day)),
+            fill_cores=True,
+            strategy=strategy,
         )
     except ValueError as exc:
         if "required condition" in str(exc):
