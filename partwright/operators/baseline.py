@@ -76,22 +76,15 @@ def sequential_export(
     Returns the loop report (:func:`loop_projection`).
     """
     spark = df.sparkSession
-    combos = partition_list(df, loop_keys, limit=max_partitions)
-    # Distinct (terr, store) of one date: bounded by that date's directory count.
-    extra = [k for k in keys if k not in loop_keys]
+    # Full key tuples in loop-key order, listed once; for a date-filtered
+    # frame this is the reference's DISTINCT (terr, store) list.  Bounded by
+    # the directory count of the frame.
+    order = list(loop_keys) + [k for k in keys if k not in loop_keys]
+    combos = partition_list(df, order, limit=max_partitions)
     start = int(time.time() * 1000)
     n = 0
     for combo in combos.toLocalIterator():
-        values = {k: combo[k] for k in loop_keys}
-        part = df
-        for k in loop_keys:
-            part = part.filter(F.col(k) == F.lit(values[k]))
-        if extra:
-            # Remaining keys (the date) are constant per export; take them per tuple.
-            for row in part.select(*extra).distinct().toLocalIterator():
-                export_single_partition(part, root, {**values, **{k: row[k] for k in extra}}, keys=keys)
-        else:
-            export_single_partition(part, root, values, keys=keys)
+        export_single_partition(df, root, {k: combo[k] for k in keys}, keys=keys)
         n += 1
     end = int(time.time() * 1000)
     return loop_projection(spark, n, start, end, projected_partitions)
