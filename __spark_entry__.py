@@ -97,7 +97,11 @@ def q_generation_metrics(spark, sf_dir):
 def q_generate_sales(spark, sf_dir):
     idx = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("idx"))
     rows = sales_rows(idx, GENERATED_DAY)
-    return rows.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+    # UTC wall clock as TIMESTAMP_NTZ, whatever the session time zone.
+    seconds = F.unix_seconds("created_at") - F.unix_date("extract_date").cast("long") * 86400
+    return rows.withColumn(
+        "created_at", F.timestamp_add("SECOND", seconds, F.col("extract_date").cast("timestamp_ntz"))
+    )
 
 
 def q_export_roundtrip(spark, sf_dir):
