@@ -16,7 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import date_literal
+from ..functions.dates import date_literal, parse_date
+
+# Data sources whose reader takes a server-side row filter as an option.
+CONNECTOR_FILTER_OPTION = {"bigquery": "filter"}
 
 
 def date_equals(column: str | Column, extract_date) -> Column:
@@ -49,7 +52,13 @@ def read_source(
         reader = spark.read.format(fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        for key, value in (options or {}).items():
+        opts = dict(options or {})
+        if extract_date is not None and fmt in CONNECTOR_FILTER_OPTION and CONNECTOR_FILTER_OPTION[fmt] not in opts:
+            # Connectors that take a row filter as text get it too (the date
+            # is parsed first, so nothing but an ISO date is ever spliced).
+            day = parse_date(extract_date).isoformat()
+            opts[CONNECTOR_FILTER_OPTION[fmt]] = f"{date_column} = '{day}'"
+        for key, value in opts.items():
             reader = reader.option(key, value)
         df = reader.load(source)
     if extract_date is not None:

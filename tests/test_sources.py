@@ -48,3 +48,15 @@ def test_inventory_lists_without_reading(spark, small_frame, tmp_path):
     assert "content" not in _plan(inv).split("ReadSchema:")[1].split("\n")[0]
     empty, exists = list_files_or_empty(spark, str(tmp_path / "absent"))
     assert not exists and empty.count() == 0
+
+
+def test_run_report(spark, small_frame, tmp_path):
+    from partwright.plans.report import run_export
+
+    src = small_frame(rows_for([("T1", "S1"), ("T2", "S2")], D1) + rows_for([("T1", "S1")], D2, start=50))
+    row = run_export(spark, src, str(tmp_path / "out"), D1, sla_seconds=600).first()
+    assert row["rows_exported"] == 6 and row["partitions"] == 2
+    assert row["sum_total_amt"] == sum(r[4] for r in rows_for([("T1", "S1"), ("T2", "S2")], D1))
+    assert row["sla_met"] is True and row["elapsed_seconds"] > 0
+    row = run_export(spark, src, str(tmp_path / "out2"), D1, sla_seconds=0).first()
+    assert row["sla_met"] is False
