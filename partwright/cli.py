@@ -29,9 +29,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Export a table as Hive-partitioned Parquet.")
     p.add_argument("--source_table", required=True, help="table name, path or connector table id")
     p.add_argument("--extract_date", required=True, help="YYYY-MM-DD")
-    p.add_argument("--output_path", "--gcs_output_path", dest="output_path", required=True)
+    p.add_argument("--output_path", required=True)
     p.add_argument("--format", default="parquet", help="source data source (parquet, orc, table, ...)")
     p.add_argument("--option", action="append", default=[], help="source option key=value")
+    p.add_argument("--filter_option", default=None, help="reader option taking a text row filter (connectors)")
     p.add_argument("--keys", default="terr_cd,store_id,extract_date")
     p.add_argument("--date_column", default="extract_date")
     p.add_argument("--amount_column", default="total_amt", help="decimal column summed by the checks")
@@ -65,6 +66,7 @@ def main(argv=None) -> int:
         args.extract_date,
         fmt=args.format,
         options=options,
+        filter_option=args.filter_option,
         keys=keys,
         date_column=args.date_column,
         overwrite=args.overwrite,

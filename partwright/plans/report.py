@@ -43,6 +43,7 @@ def run_export(
     *,
     fmt: str = "parquet",
     options=None,
+    filter_option: str | None = None,
     keys: Sequence[str] = KEYS,
     date_column: str = "extract_date",
     overwrite: str = "all",
@@ -54,7 +55,13 @@ def run_export(
     """S1 → K1 → V4 for one date; returns the one-row run report."""
     start = time.monotonic()
     df = read_source(
-        spark, source, fmt=fmt, options=options, extract_date=extract_date, date_column=date_column
+        spark,
+        source,
+        fmt=fmt,
+        options=options,
+        extract_date=extract_date,
+        date_column=date_column,
+        filter_option=filter_option,
     )
     res = export_partitioned(
         df,

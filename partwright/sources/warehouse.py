@@ -18,9 +18,6 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_literal, parse_date
 
-# Data sources whose reader takes a server-side row filter as an option.
-CONNECTOR_FILTER_OPTION = {"bigquery": "filter"}
-
 
 def date_equals(column: str | Column, extract_date) -> Column:
     """``column = DATE 'd'``; a malformed date raises (ANSI cast)."""
@@ -37,11 +34,14 @@ def read_source(
     schema: T.StructType | None = None,
     extract_date=None,
     date_column: str = "extract_date",
+    filter_option: str | None = None,
 ) -> DataFrame:
     """Load ``source`` and keep the rows of ``extract_date`` (all when None).
 
     ``fmt`` is any Spark data source (``parquet``, ``orc``, a connector
-    name).  A string source that names a catalog table is read with
+    name).  ``filter_option`` names a reader option through which a
+    connector accepts a server-side row filter as text; the date predicate
+    is then passed there as well as a Column filter.  A string source that names a catalog table is read with
     ``spark.table``; otherwise it is a path/table id passed to ``load``.
     """
     if isinstance(source, DataFrame):
@@ -53,11 +53,10 @@ def read_source(
         if schema is not None:
             reader = reader.schema(schema)
         opts = dict(options or {})
-        if extract_date is not None and fmt in CONNECTOR_FILTER_OPTION and CONNECTOR_FILTER_OPTION[fmt] not in opts:
-            # Connectors that take a row filter as text get it too (the date
-            # is parsed first, so nothing but an ISO date is ever spliced).
+        if extract_date is not None and filter_option and filter_option not in opts:
+            # The date is parsed first, so nothing but an ISO date is spliced.
             day = parse_date(extract_date).isoformat()
-            opts[CONNECTOR_FILTER_OPTION[fmt]] = f"{date_column} = '{day}'"
+            opts[filter_option] = f"{date_column} = '{day}'"
         for key, value in opts.items():
             reader = reader.option(key, value)
         df = reader.load(source)
