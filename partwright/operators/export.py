@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from urllib.parse import unquote
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -106,7 +107,7 @@ def default_max_rows_per_file(schema: T.StructType, target_file_bytes: int = DEF
 
 
 def _normalise(path: str) -> str:
-    return to_local(path).rstrip("/")
+    return unquote(to_local(path)).rstrip("/")
 
 
 def assert_not_reading_target(df: DataFrame, path: str) -> None:
@@ -121,7 +122,7 @@ def assert_not_reading_target(df: DataFrame, path: str) -> None:
 
     if not paths.exists(df.sparkSession, path):
         return
-    target = _normalise(path)
+    target = _normalise(paths.qualify(df.sparkSession, path))
     for input_file in df.inputFiles():
         src = _normalise(input_file)
         if src == target or src.startswith(target + "/"):

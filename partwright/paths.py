@@ -28,3 +28,9 @@ def delete_tree(spark: SparkSession, path: str) -> bool:
     if not fs.exists(hpath):
         return False
     return bool(fs.delete(hpath, True))
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of ``path`` (scheme, authority, absolute)."""
+    fs, hpath = _fs_path(spark, path)
+    return str(fs.makeQualified(hpath).toString())

@@ -89,6 +89,12 @@ def test_same_path_static_overwrite_refused(spark, small_frame, tmp_path):
     src = read_partitioned(spark, out)
     with pytest.raises(ValueError, match="reads from it"):
         export_partitioned(src, out, overwrite="all")
+    # the same target given relative to the working directory is caught too
+    import os
+
+    rel = os.path.relpath(out)
+    with pytest.raises(ValueError, match="reads from it"):
+        export_partitioned(src, rel, overwrite="all")
     assert read_partitioned(spark, out).count() == 9
 
 
