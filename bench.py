@@ -42,13 +42,23 @@ from partwright.operators.baseline import sequential_export  # noqa: E402
 from partwright.operators.export import export_partitioned  # noqa: E402
 from partwright.operators.replace import replace_date  # noqa: E402
 from partwright.plans.reconcile import layout_report, partition_distribution, reconcile  # noqa: E402
-from partwright.session import build_session, scratch_path  # noqa: E402
+from partwright import paths  # noqa: E402
+from partwright.session import build_session  # noqa: E402
+from partwright.session import scratch_path as _scratch_path  # noqa: E402
 from partwright.sources.hive import read_partitioned  # noqa: E402
 from partwright.sources.synthetic import generate_sales, sales_rows  # noqa: E402
 from partwright.sources.views import sales_like_table, table  # noqa: E402
 from partwright.sources.warehouse import read_source  # noqa: E402
 
 DAY = "2026-03-01"
+_CREATED: list[str] = []
+
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh scratch location, remembered so the bench can remove it."""
+    path = _scratch_path(spark, name)
+    _CREATED.append(path)
+    return path
 
 
 def main() -> None:
@@ -173,6 +183,10 @@ def main() -> None:
             }
         )
     )
+    # The bench's outputs are only measured, never reused: remove them so
+    # repeated runs do not fill the shared scratch folder.
+    for path in _CREATED:
+        paths.delete_tree(spark, path)
     spark.stop()
 
 
