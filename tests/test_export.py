@@ -229,3 +229,17 @@ def test_rebalance_strategy_splits_hot_bucket_with_aqe(spark, small_frame, tmp_p
     hot = [f for f in parquet_files(out) if "terr_cd=HOT" in str(f)]
     assert len(hot) >= 2
     assert read_partitioned(spark, out).count() == 4010
+
+
+def test_escape_rule_matches_spark_directory_names(spark, small_frame, tmp_path):
+    from partwright.functions.keys import escape_value
+
+    specials = ['q"q', "h#h", "p%p", "a'a", "s*s", "sl/sl", "c:c", "e=e", "w?w", "b\\b", "o{o", "l[l", "r]r", "x^x",
+                "sp ace", "pl+us", "t\tt", "uéu"]
+    df = small_frame(rows_for([(v, "S1") for v in specials], D1, n_per_key=1))
+    out = tmp_path / "esc"
+    export_partitioned(df, str(out), overwrite="all")
+    written = sorted(p.name[len("terr_cd="):] for p in out.iterdir() if p.name.startswith("terr_cd="))
+    assert written == sorted(escape_value(v) for v in specials)
+    back = read_partitioned(spark, str(out), columns=COLS)
+    assert sorted(r[0] for r in back.select("terr_cd").collect()) == sorted(specials)

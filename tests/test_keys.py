@@ -24,3 +24,23 @@ def test_pattern_and_decode(spark):
     raw = extract_keys(F.col("path"), ["terr_cd", "store_id", "extract_date"])
     row = df.select(*[unescape(r).alias(str(i)) for i, r in enumerate(raw)]).first()
     assert tuple(row) == ("a/b", "c+d e", "2026-03-01")
+
+
+def test_escape_unescape_roundtrip_property(spark):
+    """Arbitrary key text survives escape (as Spark writes dirs) and decode."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    samples = []
+
+    @settings(max_examples=300, deadline=None, database=None)
+    @given(st.text(alphabet=st.characters(min_codepoint=1, max_codepoint=0x2FF), min_size=1, max_size=12))
+    def collect(v):
+        samples.append(v)
+
+    collect()
+    rows = [(v, "file:/x/k=" + escape_value(v) + "/part-0.parquet") for v in samples]
+    df = spark.createDataFrame(rows, "v string, path string")
+    raw = extract_keys(F.col("path"), ["k"])[0]
+    bad = df.filter(unescape(raw) != F.col("v")).collect()
+    assert bad == []
