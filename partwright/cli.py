@@ -39,6 +39,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--overwrite", choices=["all", "partitions"], default="all")
     p.add_argument("--strategy", choices=["split", "hash", "rebalance"], default="split")
     p.add_argument("--max_rows_per_file", type=int, default=None)
+    p.add_argument("--sort_within", default="", help="comma-separated columns to cluster rows by inside each file")
     p.add_argument("--sla_seconds", type=int, default=DEFAULT_SLA_SECONDS)
     p.add_argument("--verify", action="store_true")
     p.add_argument(
@@ -72,6 +73,7 @@ def main(argv=None) -> int:
         overwrite=args.overwrite,
         strategy=args.strategy,
         max_rows_per_file=args.max_rows_per_file,
+        sort_within=tuple(c.strip() for c in args.sort_within.split(",") if c.strip()),
         amount=args.amount_column,
         sla_seconds=args.sla_seconds,
     )

@@ -33,7 +33,10 @@ def test_cli_export_and_verify(spark, small_frame, tmp_path, capsys):
     src = str(tmp_path / "src")
     small_frame(rows_for([("T1", "S1"), ("T2", "S2")], D1)).write.parquet(src)
     out = str(tmp_path / "out")
-    code = cli_main(["--source_table", src, "--extract_date", "2026-03-01", "--output_path", out, "--verify"])
+    code = cli_main(
+        ["--source_table", src, "--extract_date", "2026-03-01", "--output_path", out, "--verify",
+         "--sort_within", "order_id"]
+    )
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert code == 0
     assert lines[0]["rows_exported"] == 6 and lines[0]["partitions"] == 2
