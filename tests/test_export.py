@@ -243,3 +243,17 @@ def test_escape_rule_matches_spark_directory_names(spark, small_frame, tmp_path)
     assert written == sorted(escape_value(v) for v in specials)
     back = read_partitioned(spark, str(out), columns=COLS)
     assert sorted(r[0] for r in back.select("terr_cd").collect()) == sorted(specials)
+
+
+def test_sort_within_clusters_each_file(spark, small_frame, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = rows_for([("T1", "S1")], D1, n_per_key=50)
+    rows = rows[::-1]  # arrive in descending order
+    df = small_frame(rows, num_partitions=4)
+    out = str(tmp_path / "sorted")
+    export_partitioned(df, out, overwrite="all", sort_within=("order_id",))
+    files = parquet_files(out)
+    assert len(files) == 1
+    ids = pq.read_table(files[0]).column("order_id").to_pylist()
+    assert ids == sorted(ids)
