@@ -221,6 +221,18 @@ def q_export_split_hot_keys(spark, sf_dir):
     return read_partitioned(spark, path, keys=LINEITEM_KEYS, columns=lineitem.columns)
 
 
+def _llm():
+    """The training-data queries and their SQL; none where the subpackage is absent."""
+    try:
+        import corpus_pipeline
+        from partwright.llm import queries as llm_queries
+    except ImportError:
+        return {}, {}
+    pipeline = {"pipeline": corpus_pipeline.run}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm_queries.QUERIES | pipeline, llm_queries.ORACLE | sql
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_date_filter": q_scan_date_filter,
     "partition_list": q_partition_list,
@@ -253,7 +265,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _llm()[0]
 
 
 # ------------------------------------------------------------- oracle SQL
@@ -407,4 +419,4 @@ FROM s WHERE extract_date = {_D}""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _llm()[1]
