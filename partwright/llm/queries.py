@@ -7,13 +7,37 @@ from pyspark.sql import functions as F
 
 from partwright.llm.common import read_table
 from partwright.llm.exact_dedup import exact_dedup
+from partwright.llm.line_dedup import line_dedup
 from partwright.llm.mixing import plan_mix
+from partwright.llm.ngram_join import ngram_join
+from partwright.llm.quality import fit_quality, score_quality
+from partwright.llm.url_filter import url_filter
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mix(read_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -21,6 +45,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_url_filter": op4_url_filter,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op7_ngram_join": op7_ngram_join,
     "op8_mix_sources": op8_mix_sources,
 }
 
@@ -32,6 +60,27 @@ WITH d AS (SELECT doc_id, translate(coalesce(text, ''), {_AZ}) AS content FROM d
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(content) AS text_sha256
 FROM d WINDOW g AS (PARTITION BY content)""",
+    "op3_line_dedup": f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+     l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM d),
+     k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_AZ}) AS key FROM l),
+     f AS (SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+     j AS (SELECT k.doc_id, line, pos, f.key IS NOT NULL AND f.owner <> k.doc_id AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id""",
+    "op7_ngram_join": rf"""
+WITH RECURSIVE
+     w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                  ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+     e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+     r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
+SELECT r.id AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.id GROUP BY r.id""",
     "op8_mix_sources": r"""
 WITH d AS (SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS o,
                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
