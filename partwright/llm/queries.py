@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partwright.llm.common import read_table
+from partwright.llm.chunk_dedup import chunk_dedup
 from partwright.llm.exact_dedup import exact_dedup
 from partwright.llm.line_dedup import line_dedup
 from partwright.llm.mixing import plan_mix
 from partwright.llm.ngram_join import ngram_join
 from partwright.llm.quality import fit_quality, score_quality
+from partwright.llm.suffix_dedup import suffix_dedup
 from partwright.llm.url_filter import url_filter
 
 
@@ -18,6 +20,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -43,13 +50,22 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = chunk_dedup(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "n_repeated", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_ngram_join": op7_ngram_join,
     "op8_mix_sources": op8_mix_sources,
+    "op10_chunk_dedup": op10_chunk_dedup,
 }
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
