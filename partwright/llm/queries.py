@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from partwright.llm.common import read_table
 from partwright.llm.chunk_dedup import chunk_dedup
+from partwright.llm.decontaminate import contaminated
 from partwright.llm.exact_dedup import exact_dedup
 from partwright.llm.line_dedup import line_dedup
 from partwright.llm.mixing import plan_mix
@@ -41,6 +42,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item found in it; clean documents have none."""
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))
 
@@ -63,6 +69,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_decontaminate": op6_decontaminate,
     "op7_ngram_join": op7_ngram_join,
     "op8_mix_sources": op8_mix_sources,
     "op10_chunk_dedup": op10_chunk_dedup,
