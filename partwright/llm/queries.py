@@ -9,6 +9,7 @@ from partwright.llm.common import read_table
 from partwright.llm.chunk_dedup import chunk_dedup
 from partwright.llm.decontaminate import contaminated
 from partwright.llm.exact_dedup import exact_dedup
+from partwright.llm.html_extract import main_text
 from partwright.llm.line_dedup import line_dedup
 from partwright.llm.mixing import plan_mix
 from partwright.llm.ngram_join import ngram_join
@@ -56,6 +57,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = chunk_dedup(read_table(spark, sf_dir, "documents"))
     return cut.select(
@@ -72,6 +77,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_ngram_join": op7_ngram_join,
     "op8_mix_sources": op8_mix_sources,
+    "op9_html_extract": op9_html_extract,
     "op10_chunk_dedup": op10_chunk_dedup,
 }
 
