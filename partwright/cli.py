@@ -3,7 +3,7 @@
     spark-submit partwright/cli.py --source_table T --extract_date 2026-03-01 \
         --output_path s3a://bucket/export_sales [--format parquet] \
         [--keys terr_cd,store_id,extract_date] [--overwrite all|partitions] \
-        [--verify]
+        [--verify | --verify_only]
 
 Prints the run report (and, with ``--verify``, the layout and reconciliation
 records) as JSON lines.  Exit status 1 when verification fails.
@@ -42,12 +42,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--sort_within", default="", help="comma-separated columns to cluster rows by inside each file")
     p.add_argument("--sla_seconds", type=int, default=DEFAULT_SLA_SECONDS)
     p.add_argument("--verify", action="store_true")
-    p.add_argument(
-        "--max_files_per_partition",
-        type=int,
-        default=1 << 30,
-        help="files allowed per directory in the check (hot tuples are split into several)",
-    )
+    p.add_argument("--verify_only", action="store_true", help="check an existing export, write nothing")
     return p.parse_args(argv)
 
 
@@ -60,27 +55,36 @@ def main(argv=None) -> int:
     spark = build_session(app_name="partwright-export")
     keys = tuple(k.strip() for k in args.keys.split(",") if k.strip())
     options = dict(o.split("=", 1) for o in args.option)
-    report = run_export(
+    if not args.verify_only:
+        report = run_export(
+            spark,
+            args.source_table,
+            args.output_path,
+            args.extract_date,
+            fmt=args.format,
+            options=options,
+            filter_option=args.filter_option,
+            keys=keys,
+            date_column=args.date_column,
+            overwrite=args.overwrite,
+            strategy=args.strategy,
+            max_rows_per_file=args.max_rows_per_file,
+            sort_within=tuple(c.strip() for c in args.sort_within.split(",") if c.strip()),
+            amount=args.amount_column,
+            sla_seconds=args.sla_seconds,
+        )
+        print(_json(report))
+        if not args.verify:
+            return 0
+    source = read_source(
         spark,
         args.source_table,
-        args.output_path,
-        args.extract_date,
         fmt=args.format,
         options=options,
-        filter_option=args.filter_option,
-        keys=keys,
+        extract_date=args.extract_date,
         date_column=args.date_column,
-        overwrite=args.overwrite,
-        strategy=args.strategy,
-        max_rows_per_file=args.max_rows_per_file,
-        sort_within=tuple(c.strip() for c in args.sort_within.split(",") if c.strip()),
-        amount=args.amount_column,
-        sla_seconds=args.sla_seconds,
+        filter_option=args.filter_option,
     )
-    print(_json(report))
-    if not args.verify:
-        return 0
-    source = read_source(spark, args.source_table, fmt=args.format, options=options)
     check = verify_export(
         spark,
         source,
@@ -89,7 +93,7 @@ def main(argv=None) -> int:
         keys=keys,
         date_column=args.date_column,
         amount=args.amount_column,
-        max_files=args.max_files_per_partition,
+        max_rows_per_file=args.max_rows_per_file,
     ).first()
     print(json.dumps({"check": "verify", **check.asDict()}, default=str))
     ok = bool(check["verified"])

@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 
 
 def date_literal(value) -> Column:
-    """``DATE('YYYY-MM-DD')``: a DATE literal, validated by an ANSI cast."""
+    """``DATE('YYYY-MM-DD')``: a DATE literal; a malformed text raises whatever the session's settings."""
     if isinstance(value, Column):
         return value.cast("date")
-    if isinstance(value, _dt.datetime):
-        value = value.date()
-    if isinstance(value, _dt.date):
-        return F.lit(value)
-    return F.lit(str(value)).cast("date")
+    return F.lit(parse_date(value))
 
 
 def midnight(date_col: Column) -> Column:
@@ -32,11 +28,6 @@ def add_seconds(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
 
 
-def whole_units_between(start: Column, end: Column, unit: str = "SECOND") -> Column:
-    """``TIMESTAMP_DIFF(end, start, unit)``: whole units elapsed (truncating)."""
-    return F.timestamp_diff(unit, start, end)
-
-
 def parse_date(value) -> _dt.date:
     if isinstance(value, _dt.datetime):
         return value.date()

@@ -9,17 +9,14 @@ present in the data (``overwrite="partitions"``).
 Layout strategies (``strategy=``):
 
 ``"split"`` (default)
-    One pre-aggregated pass over the key columns only counts rows per key
-    tuple (partial aggregation on the map side; the shuffle carries one row
-    per tuple per task).  Tuples above ``max_rows_per_file`` are *hot*: their
-    rows are spread over ``ceil(rows / max_rows_per_file)`` salt buckets, so a
-    key holding a third of the table becomes many bounded tasks and files
-    instead of one straggler.  All other tuples keep exactly one file.  The
-    hot-tuple table is broadcast; its size is bounded by construction
-    (``hot tuples <= rows / max_rows_per_file``) and checked before the hint.
-    The salt hashes the row together with its input partition id, so it is
-    deterministic under task retries and still separates exact duplicate
-    rows coming from different input splits.
+    One pre-aggregated pass over the key columns counts rows per key tuple
+    (partial aggregation on the map side; the shuffle carries one row per
+    tuple per task).  Tuples above ``max_rows_per_file`` are *hot*: they get
+    numbered slots, one task and file each, and their rows are dealt over the
+    slots in turn, so a key holding a third of the table, exact copies
+    included, becomes many bounded tasks and files.  All other tuples keep
+    exactly one file.  Rows are dealt in the order of a hash of their content,
+    so a retried task deals them alike.  The writer cuts files at the bound.
 ``"hash"``
     The reference's plan, ``repartition(n, *keys)``: strictly one file per
     tuple, no pre-pass, but a hot tuple is one task.
@@ -28,9 +25,8 @@ Layout strategies (``strategy=``):
     any bucket above the advisory partition size by map ranges.
 ``"direct"``
     No exchange: every input task writes its own rows into the directories
-    they belong to.  For table writes (date replacement, table inserts)
-    where the number of files per partition is not part of the contract;
-    files per directory are bounded by the input task count.
+    they belong to.  For writes into one directory, where the number of files
+    is not part of the contract: it is the number of input tasks at most.
 """
 
 from __future__ import annotations
@@ -40,23 +36,31 @@ from collections.abc import Sequence
 from urllib.parse import unquote
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import partition_subpath
 from ..schema import KEYS
 from ..session import to_local
+from .metrics import exact_total
 
 OVERWRITE_MODES = {"all": "static", "partitions": "dynamic"}
 STRATEGIES = ("split", "hash", "rebalance", "direct")
 
 DEFAULT_TARGET_FILE_BYTES = 512 * 1024 * 1024
-# Hot-tuple tables above this many rows are joined without a broadcast hint.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-_SALT = "__pw_salt"
-_SPLITS = "__pw_splits"
+# The table of hot tuples is broadcast up to this many bytes of key text; beyond, each hot tuple
+# is joined in ``HOT_JOIN_COPIES`` copies, so that its rows don't meet in one task.
+HOT_BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_JOIN_COPIES = 64
+# Slots of a hot tuple are filled to about this share, so that uneven dealing stays below the bound.
+SLOT_FILL = 0.95
+
+_SLOTS = "__pw_slots"
+_BASE = "__pw_base"
+_COPY = "__pw_copy"
+_ORDER = "__pw_order"
+_TASK = "__pw_task"
 _N = "__pw_n"
 
 
@@ -74,61 +78,68 @@ class ExportResult:
     observed: dict = field(default_factory=dict)
 
 
-def _type_bytes(dt: T.DataType) -> int:
-    # Same defaults Catalyst uses for size estimates (strings 20, binary 100).
-    if isinstance(dt, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return _type_bytes(dt.elementType)
-    if isinstance(dt, T.MapType):
-        return _type_bytes(dt.keyType) + _type_bytes(dt.valueType)
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
-        return 20
-    if isinstance(dt, T.BinaryType):
-        return 100
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    return 8
-
+def default_max_rows_per_file(df: DataFrame, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> int:
+    """Rows of the schema's default size that make a file of the target size."""
+    return max(1, target_file_bytes // max(1, df._jdf.schema().defaultSize()))
 
-def estimated_row_bytes(schema: T.StructType) -> int:
-    """Catalyst-style default size estimate for one row of ``schema``."""
-    return max(1, sum(_type_bytes(f.dataType) for f in schema.fields))
 
-
-def default_max_rows_per_file(schema: T.StructType, target_file_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> int:
-    return max(1, target_file_bytes // estimated_row_bytes(schema))
+def slots_of(rows: Column, max_rows: int) -> Column:
+    """Files that a tuple of ``rows`` rows is split into: one up to the bound."""
+    return F.when(rows <= max_rows, F.lit(1)).otherwise(F.ceil(rows / F.lit(max_rows * SLOT_FILL))).cast("long")
 
 
 def _normalise(path: str) -> str:
     return unquote(to_local(path)).rstrip("/")
 
 
+def source_roots(df: DataFrame) -> list[str]:
+    """Root paths of the file sources below ``df``: as many as paths were read, not files."""
+    roots = []
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName().startswith("LogicalRelation"):
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                roots += [paths.apply(k).toString() for k in range(paths.size())]
+    return roots
+
+
+def reads_from(df: DataFrame, path: str) -> bool:
+    """Whether ``df`` reads from ``path``, from below it or from a tree that holds it."""
+    from .. import paths
+
+    target = _normalise(paths.qualify(df.sparkSession, path)) + "/"
+    for root in source_roots(df):
+        source = _normalise(root) + "/"
+        if source.startswith(target) or target.startswith(source):
+            return True
+    return False
+
+
 def assert_not_reading_target(df: DataFrame, path: str) -> None:
-    """Refuse a whole-target overwrite of a path the frame reads from.
+    """Refuse to overwrite a path that the frame reads from.
 
-    A static overwrite deletes the target before the scan runs; Spark does
-    not refuse it for path writes and the data would be lost.  When the
-    target does not exist yet there is nothing to lose and the input file
-    list (held by the driver's file index) is not walked.
+    The write deletes files before the scan has read them; Spark does not refuse it for
+    all path writes, and the data would be lost.
     """
     from .. import paths
 
-    if not paths.exists(df.sparkSession, path):
-        return
-    target = _normalise(paths.qualify(df.sparkSession, path))
-    for input_file in df.inputFiles():
-        src = _normalise(input_file)
-        if src == target or src.startswith(target + "/"):
-            raise ValueError(
-                f"refusing to overwrite {path!r}: the frame reads from it ({input_file})"
-            )
+    if paths.exists(df.sparkSession, path) and reads_from(df, path):
+        raise ValueError(f"refusing to overwrite {path!r}: the frame reads from it")
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns as far as they can be hashed: maps as their entries, deeper maps left out."""
+    out = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.MapType):
+            if "map<" not in f.dataType.keyType.simpleString() + f.dataType.valueType.simpleString():
+                out.append(F.map_entries(f.name))
+        elif "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString():
+            out.append(F.col(f.name))
+    return out
 
 
 def _null_or_empty(df: DataFrame, keys: Sequence[str]):
@@ -146,11 +157,9 @@ def _null_or_empty(df: DataFrame, keys: Sequence[str]):
 
 
 def _write(df: DataFrame, path: str, keys, overwrite: str, max_records_per_file, compression) -> None:
-    writer = (
-        df.write.partitionBy(*keys)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", OVERWRITE_MODES[overwrite])
-    )
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", OVERWRITE_MODES[overwrite])
+    if keys:
+        writer = writer.partitionBy(*keys)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if compression:
@@ -184,7 +193,7 @@ def prepare_export(
     validate_keys: bool = True,
     observe_sum: str | None = None,
     require: Column | None = None,
-    fill_cores: bool = False,
+    hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
 ) -> PreparedExport:
     """Plan the export: the returned ``frame`` is what the writer consumes.
 
@@ -193,10 +202,6 @@ def prepare_export(
     until :meth:`PreparedExport.release`.  ``frame.explain()`` shows the
     exchange the write will use.
 
-    ``fill_cores`` lowers the per-file row bound when there are fewer file
-    slots than twice the cores, so a table write with few large tuples (one
-    date) still uses every core; a tuple then becomes several files.
-
     ``require`` is a predicate over key columns only that every row must
     satisfy (e.g. "the date is D"); it is checked on the per-tuple counts, so
     it costs no extra scan, and a violation raises before anything is written.
@@ -216,7 +221,7 @@ def prepare_export(
         body = body.observe(
             observation,
             F.count(F.lit(1)).alias("rows"),
-            F.sum(F.col(observe_sum)).alias("sum"),
+            exact_total(df, observe_sum).alias("sum"),
         )
     parallelism = spark.sparkContext.defaultParallelism
 
@@ -247,66 +252,71 @@ def prepare_export(
             out = out.sortWithinPartitions(*keys, *sort_within)
         return PreparedExport(out, result, observation)
 
-    thr = max_rows_per_file or default_max_rows_per_file(df.schema)
+    thr = max_rows_per_file or default_max_rows_per_file(df)
     # One row per key tuple; partial aggregation runs before the shuffle.
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).persist()
-
-    def summarise(limit: int):
-        return counts.agg(
+    is_hot = F.col(_N) > thr
+    text = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    try:
+        stats = counts.agg(
             F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
             F.count(F.lit(1)).alias("tuples"),
-            F.count_if(F.col(_N) > limit).alias("hot"),
-            F.coalesce(
-                F.sum(F.when(F.col(_N) > limit, F.ceil(F.col(_N) / F.lit(limit)) - 1)), F.lit(0)
-            ).alias("extra_slots"),
+            F.count_if(is_hot).alias("hot"),
+            F.coalesce(F.sum(F.when(is_hot, F.col(_N))), F.lit(0)).alias("hot_rows"),
+            F.coalesce(F.sum(F.when(is_hot, slots_of(F.col(_N), thr))), F.lit(0)).alias("slots"),
+            F.coalesce(F.sum(F.when(is_hot, F.octet_length(text) + 64)), F.lit(0)).alias("hot_bytes"),
             F.coalesce(F.sum(F.when(_null_or_empty(counts, keys), F.col(_N))), F.lit(0)).alias("bad"),
             F.coalesce(
                 F.sum(F.when(~F.coalesce(require, F.lit(False)), F.col(_N))) if require is not None else F.lit(0),
                 F.lit(0),
             ).alias("failing"),
         ).first()
-
-    try:
-        stats = summarise(thr)
         if validate_keys and stats["bad"]:
             raise ValueError(f"{stats['bad']} rows have a NULL or empty partition key {keys}")
         if stats["failing"]:
             raise ValueError(f"{stats['failing']} rows fail the required condition")
-        slots = stats["tuples"] + int(stats["extra_slots"])
-        if fill_cores and stats["rows"] and slots < 2 * parallelism:
-            # Re-plan on the cached counts (tuple-sized, no new scan).
-            thr = max(1, min(thr, math.ceil(stats["rows"] / (2 * parallelism))))
-            stats = summarise(thr)
     except Exception:
         counts.unpersist()
         raise
     result.max_rows_per_file = thr
     result.rows, result.tuples, result.hot_tuples = stats["rows"], stats["tuples"], stats["hot"]
-    slots = max(1, stats["tuples"] + int(stats["extra_slots"]))
     # Enough tasks to keep every core busy on a file-count-bound write, and
     # about one task per max_rows_per_file rows on a large one.
-    n = num_partitions or max(1, min(slots, max(2 * parallelism, math.ceil(stats["rows"] / thr))))
-    result.num_tasks = n
+    cold, cold_rows = stats["tuples"] - stats["hot"], stats["rows"] - stats["hot_rows"]
+    n = num_partitions or max(1, min(cold, max(2 * parallelism, math.ceil(cold_rows / thr))))
+    result.num_tasks = n + stats["slots"]
+    cached = None
     if not stats["hot"]:
         counts.unpersist()
         out = body.repartition(n, *keys)
-        cached = None
     else:
-        hot = counts.filter(F.col(_N) > thr).select(
-            *keys, F.ceil(F.col(_N) / F.lit(thr)).cast("long").alias(_SPLITS)
+        cached = counts
+        # Hot tuples hold more than max_rows_per_file rows each, so they are few against the rows.
+        before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+        hot = (
+            counts.filter(is_hot)
+            .withColumn(_SLOTS, slots_of(F.col(_N), thr))
+            .select(*keys, _SLOTS, F.coalesce(F.sum(_SLOTS).over(before), F.lit(0)).alias(_BASE))
+        )
+        if stats["hot_bytes"] <= hot_broadcast_bytes:
+            joined = body.join(F.broadcast(hot), on=list(keys), how="left")
+        else:
+            copies = hot.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.lit(HOT_JOIN_COPIES - 1))))
+            copy = F.pmod(F.xxhash64(*_hashable(df), F.spark_partition_id()), F.lit(HOT_JOIN_COPIES)).cast("int")
+            joined = body.withColumn(_COPY, copy).join(copies.hint("shuffle_hash"), on=[*keys, _COPY], how="left")
+        content = F.when(F.col(_BASE).isNotNull(), F.xxhash64(*_hashable(df)))
+        # Rows of a hot tuple stand together in each input task and are dealt over its slots in turn.
+        turn = F.pmod(F.monotonically_increasing_id(), F.col(_SLOTS))
+        task = F.when(F.col(_BASE).isNotNull(), F.lit(n) + F.col(_BASE) + turn).otherwise(
+            F.pmod(F.xxhash64(*keys), F.lit(n))
         )
-        # hot tuples <= rows / max_rows_per_file, so this side is small.
-        if stats["hot"] <= BROADCAST_ROW_LIMIT:
-            hot = F.broadcast(hot)
-        body_cols = [F.col(c) for c in df.columns]
-        salted = body.join(hot, on=list(keys), how="left").select(
-            *df.columns,
-            F.when(F.col(_SPLITS).isNull(), F.lit(0))
-            .otherwise(F.pmod(F.xxhash64(F.spark_partition_id(), *body_cols), F.col(_SPLITS)))
-            .alias(_SALT),
+        out = (
+            joined.withColumn(_ORDER, content)
+            .sortWithinPartitions(_BASE, _ORDER)
+            .withColumn(_TASK, task.cast("int"))
+            .repartitionById(result.num_tasks, F.col(_TASK))
+            .select(*df.columns)
         )
-        out = salted.repartition(n, *keys, _SALT).drop(_SALT)
-        cached = counts
     if sort_within:
         out = out.sortWithinPartitions(*keys, *sort_within)
     return PreparedExport(out, result, observation, cached)
@@ -319,15 +329,24 @@ def write_prepared(
     overwrite: str,
     max_records_per_file: int | None = None,
     compression: str | None = None,
+    below: str | None = None,
 ) -> ExportResult:
-    """Write a :class:`PreparedExport` and release its cached planning data."""
+    """Write a :class:`PreparedExport` and release its cached planning data.
+
+    ``below`` is the directory of one value of the first key: the rest of the tree is written
+    into it, and the whole of it is replaced.
+    """
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {sorted(OVERWRITE_MODES)}, got {overwrite!r}")
+    result = prep.result
+    limit = max_records_per_file or result.max_rows_per_file
     try:
-        _write(prep.frame, path, prep.result.keys, overwrite, max_records_per_file, compression)
+        if below is None:
+            _write(prep.frame, path, result.keys, overwrite, limit, compression)
+        else:
+            _write(prep.frame.drop(result.keys[0]), below, result.keys[1:], "all", limit, compression)
     finally:
         prep.release()
-    result = prep.result
     result.path, result.overwrite = path, overwrite
     if prep.observation is not None:
         result.observed = dict(prep.observation.get)
@@ -395,11 +414,14 @@ def export_single_partition(
     into SQL text.  Returns the directory written.
     """
     keys = tuple(keys)
+    typed = {k: F.lit(key_values[k]).cast(df.schema[k].dataType) for k in keys}
     cond = None
     for k in keys:
-        c = F.col(k) == F.lit(key_values[k])
+        c = F.col(k) == typed[k]
         cond = c if cond is None else cond & c
-    target = f"{root.rstrip('/')}/{partition_subpath(keys, [key_values[k] for k in keys])}"
+    # The directory's text is Spark's own: booleans, times and numbers as a partitioned write has them.
+    texts = df.sparkSession.range(1).select(*[typed[k].cast("string").alias(k) for k in keys]).first()
+    target = f"{root.rstrip('/')}/{partition_subpath(keys, list(texts))}"
     writer = df.filter(cond).drop(*keys).write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)

@@ -11,17 +11,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Metric records have fixed types whatever the amount column's precision.
 SUM_TYPE = "decimal(38,2)"
 
 
+def exact_amount(df: DataFrame, amount: str) -> Column:
+    """The amount column as a decimal, so that its sum does not depend on the order of rows.
+
+    Floating-point amounts are rounded to nine decimals row by row; other types are refused.
+    """
+    kind = df.schema[amount].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.col(amount)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.col(amount).cast(T.DecimalType(38, 9))
+    if isinstance(kind, T.IntegralType):
+        return F.col(amount).cast(T.DecimalType(38, 0))
+    raise TypeError(f"{amount} is {kind.simpleString()}; an amount is a decimal, an integer or a double")
+
+
+def exact_total(df: DataFrame, amount: str) -> Column:
+    """``ROUND(SUM(amount), 2)``, half up."""
+    return F.round(F.sum(exact_amount(df, amount)), 2).cast(SUM_TYPE)
+
+
 def _tuple_partials(df: DataFrame, terr: str, store: str, amount: str) -> DataFrame:
     return df.groupBy(terr, store).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.col(amount)).alias("_amt"),
+        F.sum(exact_amount(df, amount)).alias("_amt"),
     )
 
 
@@ -75,8 +96,8 @@ def generation_metrics(
     )
 
 
-def not_null_contract(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
-    """A8 — the table's NOT NULL contract as one row.
+def not_null_contract(df: DataFrame, *, keys: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
+    """A8 — the table's NOT NULL contract as one row, for ``columns`` (all by default) and the keys.
 
     ``null_<col>`` counts NULLs per column; for key columns an empty string
     counts too (it would be written to the same default directory as NULL).
@@ -84,13 +105,14 @@ def not_null_contract(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """
     string_cols = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
     aggs = []
-    for c in df.columns:
+    checked = [c for c in df.columns if columns is None or c in columns or c in keys]
+    for c in checked:
         cond = F.col(c).isNull()
         if c in keys and c in string_cols:
             cond = cond | (F.col(c) == F.lit(""))
         aggs.append(F.count_if(cond).alias(f"null_{c}"))
     agg = df.agg(F.count(F.lit(1)).alias("total_rows"), *aggs)
-    total = sum((F.col(f"null_{c}") for c in df.columns), F.lit(0))
+    total = sum((F.col(f"null_{c}") for c in checked), F.lit(0))
     return agg.select("*", total.cast("long").alias("violations")).withColumn("ok", F.col("violations") == 0)
 
 

@@ -1,11 +1,12 @@
 """K5 — idempotent replacement of one date in a date-partitioned dataset.
 
 Reference semantics: ``DELETE WHERE extract_date = D`` followed by
-``INSERT ... SELECT`` of the new rows.  On a Parquet tree this is a dynamic
-partition overwrite, with one trap: a dynamic overwrite by an *empty* frame
-deletes nothing, whereas DELETE + empty INSERT leaves the date empty.  That
-case removes the date's directories explicitly.  Other dates are never
-touched.  Running the same replacement twice gives the same result.
+``INSERT ... SELECT`` of the new rows.  On a Parquet tree the date is one
+top-level directory, so the replacement overwrites that directory as a
+whole: tuples that no longer receive rows go with it, and nothing else is
+listed or touched.  No rows remove the directory.  Running the same replacement
+twice gives the same result.  For a catalog table see
+:func:`partwright.operators.table.replace_table_date`.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import paths
 from ..functions.dates import date_literal, parse_date
 from ..functions.keys import escape_value
-from .export import prepare_export, write_prepared
+from .export import prepare_export, reads_from, write_prepared
 
 
 def replace_date(
@@ -30,25 +31,23 @@ def replace_date(
     date_column: str = "extract_date",
     sort_within: Sequence[str] = (),
     max_rows_per_file: int | None = None,
-    strategy: str = "direct",
+    strategy: str | None = None,
 ) -> dict:
     """Replace date ``extract_date`` under ``path`` by ``rows``.
 
-    ``rows`` must all carry that date.  The check rides on the export's
-    per-tuple counting pass (the date is a key), so it costs no extra scan,
-    and a violation raises before the target is modified.  ``keys`` are the
-    dataset's partition columns; the date column must be the first one, so
-    the date is one top-level directory.
-
-    The target is a table, not an export: how many files a date has is not
-    part of its contract.  The default ``strategy="direct"`` therefore writes
-    without any exchange (each input task writes its own rows; no shuffle of
-    the data at all).  With ``"split"`` the rows are co-located per tuple as
-    in the export, spread over all cores when a date has few tuples.
+    ``rows`` must all carry that date; the check rides on the export's counting
+    pass, and a violation raises before the target is modified, as do rows that
+    are read from the target.  ``keys`` are the dataset's partition columns; the date column
+    must be the first one.  With the date as the only key each input task writes its
+    own rows (``"direct"``, no shuffle); with further keys the rows are co-located per
+    tuple as in the export (``"split"``), one file per tuple up to the bound.
     """
     keys = tuple(keys)
     if keys[0] != date_column:
         raise ValueError("the date column must be the first partition key")
+    strategy = strategy or ("split" if len(keys) > 1 else "direct")
+    if reads_from(rows, path):
+        raise ValueError(f"refusing to replace a date of {path!r} by rows read from it: write them elsewhere first")
     day = parse_date(extract_date)
     try:
         prep = prepare_export(
@@ -57,7 +56,6 @@ def replace_date(
             sort_within=sort_within,
             max_rows_per_file=max_rows_per_file,
             require=F.col(date_column).eqNullSafe(date_literal(day)),
-            fill_cores=True,
             strategy=strategy,
         )
     except ValueError as exc:
@@ -69,27 +67,5 @@ def replace_date(
         prep.release()
         removed = paths.delete_tree(rows.sparkSession, target_dir)
         return {"rows": 0, "removed_partition": removed}
-    res = write_prepared(prep, path, overwrite="partitions")
-    # Keys below the date level that no longer receive rows must not survive
-    # the replacement either (DELETE removes the whole date).
-    if len(keys) > 1:
-        _drop_stale_subdirs(rows, path, keys, date_column, day)
+    res = write_prepared(prep, path, overwrite="partitions", below=target_dir)
     return {"rows": res.rows, "removed_partition": False, "export": res}
-
-
-def _drop_stale_subdirs(rows: DataFrame, path: str, keys, date_column, day) -> None:
-    """Remove sub-partitions of the date that the replacement did not write.
-
-    Only the date's directory is listed (partition-pruned read of its key
-    columns), and the comparison is between two tuple-level sets.
-    """
-    from ..plans.reconcile import partition_files
-
-    spark = rows.sparkSession
-    on_disk = partition_files(spark, path, keys).filter(F.col(date_column) == F.lit(str(day))).select(*keys)
-    written = rows.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
-    stale = on_disk.join(written, on=list(keys), how="left_anti")
-    # Bounded by the number of directories of one date.
-    for row in stale.toLocalIterator():
-        sub = "/".join(f"{k}={escape_value(row[k])}" for k in keys)
-        paths.delete_tree(spark, f"{path.rstrip('/')}/{sub}")

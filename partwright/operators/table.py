@@ -1,24 +1,51 @@
-"""K8, K9, T4 — the partitioned, clustered fact table.
+"""K5, K8, K9, T4 — the partitioned, clustered fact table.
 
 ``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY (extract_date)``
 with the fixed schema and a table comment.  Spark file tables do not
 enforce NOT NULL, so inserts go through the A8 contract first.  Clustering by
-``terr_cd, store_id`` is a sort within each writer task: Parquet row groups
-then carry tight min/max statistics and point filters on those columns skip
-row groups.
+``terr_cd, store_id`` deals rows out by ranges of (date, territory, store) and sorts
+each range: a file covers few territories, its row groups carry tight min/max
+statistics and point filters on those columns skip files and row groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import date_literal, parse_date
 from ..schema import CLUSTER_COLUMNS, DATE_COLUMN, SALES_SCHEMA, TABLE_COMMENT, ddl_columns
 from .metrics import not_null_contract
 
 
+DYNAMIC = ("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def _quoted(name: str) -> str:
+    """A table name with each part quoted; parts hold no dots."""
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def create_table(
     spark: SparkSession,
     name: str,
@@ -29,21 +56,41 @@ def create_table(
     comment: str = TABLE_COMMENT,
 ) -> None:
     """K8 — create the table if it does not exist (idempotent)."""
-    loc = f"\nLOCATION '{location}'" if location else ""
-    parts = ", ".join(f"`{c}`" for c in partition_by)
+    loc = f"\nLOCATION {_text(location)}" if location else ""
+    parts = ", ".join("`" + c.replace("`", "``") + "`" for c in partition_by)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} (\n  {ddl_columns(schema)}\n)\n"
-        f"USING parquet\nPARTITIONED BY ({parts}){loc}\nCOMMENT '{comment.replace(chr(39), '')}'"
+        f"CREATE TABLE IF NOT EXISTS {_quoted(name)} (\n  {ddl_columns(schema)}\n)\n"
+        f"USING parquet\nPARTITIONED BY ({parts}){loc}\nCOMMENT {_text(comment)}"
     )
 
 
-def check_not_null(df: DataFrame, keys: Sequence[str] = ()) -> None:
-    row = not_null_contract(df, keys=keys).first()
+def check_not_null(df: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] | None = None) -> None:
+    row = not_null_contract(df, keys=keys, columns=columns).first()
     if row["violations"]:
         bad = {k[5:]: v for k, v in row.asDict().items() if k.startswith("null_") and v}
         raise ValueError(f"NOT NULL contract violated: {bad}")
 
 
+def _clustered(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Rows dealt by ranges of ``by``, sorted in each.
+
+    A hash of the row ends the range key, so one hot (date, store) spans several ranges.
+    """
+    rows = df.select(*columns)
+    plain = [F.col(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    return rows.repartitionByRange(*by, F.xxhash64(*plain)).sortWithinPartitions(*by)
+
+
+def _checked(df: DataFrame, name: str, cluster_by: Sequence[str], enforce: bool) -> list[str]:
+    """Partition columns of the table, after the rows were held against its NOT NULL columns and keys."""
+    listed = df.sparkSession.catalog.listColumns(name)
+    parts = [c.name for c in listed if c.isPartition]
+    if enforce:
+        required = [c.name for c in listed if not c.nullable]
+        check_not_null(df, keys=[*parts, *cluster_by], columns=required)
+    return parts
+
+
 def insert_clustered(
     df: DataFrame,
     name: str,
@@ -52,25 +99,57 @@ def insert_clustered(
     overwrite_partitions: bool = False,
     enforce_not_null: bool = True,
 ) -> None:
-    """K9 + T4 — insert rows into the table, clustered within each file.
+    """K9 + T4 — insert rows into the table, clustered over and within files.
 
     ``overwrite_partitions=True`` replaces only the partitions the rows
-    touch (dynamic overwrite); otherwise rows are appended.  Columns are
-    matched by name to the table's order.
+    touch (dynamic overwrite; no rows replace nothing); otherwise rows are appended.  Columns
+    are matched by name to the table's order.  Columns that the table declares NOT NULL must
+    hold no nulls, partition and cluster columns neither nulls nor empty texts.
     """
     spark = df.sparkSession
-    table_cols = spark.table(name).columns
-    if enforce_not_null:
-        check_not_null(df)
-    part_cols = [
-        c.name for c in spark.catalog.listColumns(name) if c.isPartition
-    ]
-    # REBALANCE on (partition, cluster) columns: adaptive execution merges
-    # small buckets and splits a hot one, so no date or store lands whole on
-    # one task; each task then writes its share sorted by the cluster columns.
-    ordered = df.select(*table_cols).hint("rebalance", *part_cols, *cluster_by)
-    ordered = ordered.sortWithinPartitions(*part_cols, *cluster_by)
-    writer = ordered.write
-    if overwrite_partitions:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=overwrite_partitions)
+    parts = _checked(df, name, cluster_by, enforce_not_null)
+    ordered = _clustered(df, spark.table(name).columns, [*parts, *cluster_by])
+    with _setting(spark, *DYNAMIC):
+        ordered.write.insertInto(name, overwrite=overwrite_partitions)
+
+
+def replace_table_date(
+    rows: DataFrame,
+    name: str,
+    extract_date,
+    *,
+    date_column: str = "extract_date",
+    cluster_by: Sequence[str] = CLUSTER_COLUMNS,
+    enforce_not_null: bool = True,
+) -> None:
+    """K5 on the catalog table: delete one date and insert its new rows; other dates stay.
+
+    ``rows`` must all carry the date, else nothing is changed; no rows leave the date empty.
+    Spark refuses rows that are read from the table itself.  Idempotent.
+    """
+    spark = rows.sparkSession
+    day = parse_date(extract_date)
+    other = rows.filter(~F.col(date_column).eqNullSafe(date_literal(day))).limit(1)
+    if not other.isEmpty():
+        raise ValueError(f"replacement rows are not all dated {day}")
+    _checked(rows, name, cluster_by, enforce_not_null)
+    columns = [c for c in spark.table(name).columns if c != date_column]
+    ordered = _clustered(rows, columns, cluster_by)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {_quoted(name)} PARTITION (`{date_column}` = DATE '{day.isoformat()}') "
+        "SELECT * FROM {rows}",
+        rows=ordered,
+    )
+
+
+def clustering_report(spark: SparkSession, name: str, date_column: str = "extract_date", by: str = "terr_cd") -> DataFrame:
+    """T4 — per date: files, values of ``by``, and (file, value) pairs.
+
+    Files of a clustered table overlap in the values at their borders only, so there are
+    at most ``values + files - 1`` pairs (``clustered``).
+    """
+    rows = spark.table(name).select(date_column, by, F.col("_metadata.file_path").alias("file"))
+    pairs = rows.distinct().groupBy(date_column)
+    return pairs.agg(
+        F.count_distinct("file").alias("files"), F.count_distinct(by).alias("values"), F.count(F.lit(1)).alias("pairs")
+    ).withColumn("clustered", F.col("pairs") <= F.col("values") + F.col("files") - 1)

@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import parse_date
 from ..functions.keys import extract_keys, unescape
+from ..operators.export import default_max_rows_per_file, slots_of
 from ..operators.metrics import EXPORT_METRIC_NAMES, source_metrics
 from ..schema import KEYS
 from ..sources.hive import read_partitioned
@@ -193,32 +195,35 @@ def partition_distribution(
     path: str,
     source: DataFrame,
     keys: Sequence[str] = KEYS,
-    max_files: int = 1,
+    max_rows_per_file: int | None = None,
     inventory: tuple[DataFrame, bool] | None = None,
 ) -> DataFrame:
     """V3 — one row: ``partitions, files, max_files_per_partition,
     missing_partitions, extra_partitions, files_ok, dirs_match, ok``.
 
-    ``source`` holds the rows that were exported.  Its distinct key tuples
+    ``source`` holds the rows that were exported.  Its key tuples
     (pre-aggregated) are matched to the directories by a full outer join of
     two tuple-level sets; key values are compared in their directory text
-    form.  ``files_ok`` holds when no partition has more than ``max_files``.
+    form.  ``files_ok`` holds when no partition has more files than the export
+    makes of its rows: one up to ``max_rows_per_file`` (the export's default if None).
     """
+    bound = max_rows_per_file or default_max_rows_per_file(source)
     per_dir = partition_files(spark, path, keys, inventory).select(*keys, "n_files")
-    src_keys = source.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
-    joined = src_keys.withColumn("_src", F.lit(True)).join(
-        per_dir.withColumn("_dir", F.lit(True)), on=list(keys), how="full_outer"
+    src_keys = source.groupBy(*[F.col(k).cast("string").alias(k) for k in keys]).agg(
+        slots_of(F.count(F.lit(1)), bound).alias("_src")
     )
+    joined = src_keys.join(per_dir.withColumn("_dir", F.lit(True)), on=list(keys), how="full_outer")
     out = joined.agg(
         F.count_if(F.col("_dir")).alias("partitions"),
         F.coalesce(F.sum("n_files"), F.lit(0)).cast("long").alias("files"),
         F.coalesce(F.max("n_files"), F.lit(0)).cast("long").alias("max_files_per_partition"),
         F.count_if(F.col("_dir").isNull()).alias("missing_partitions"),
         F.count_if(F.col("_src").isNull()).alias("extra_partitions"),
+        F.count_if(F.col("n_files") > F.coalesce("_src", F.lit(1))).alias("_over"),
     )
-    files_ok = (F.col("max_files_per_partition") <= max_files) & (F.col("partitions") > 0)
+    files_ok = (F.col("_over") == 0) & (F.col("partitions") > 0)
     dirs_ok = (F.col("missing_partitions") == 0) & (F.col("extra_partitions") == 0)
-    return out.select("*", files_ok.alias("files_ok"), dirs_ok.alias("dirs_match"), (files_ok & dirs_ok).alias("ok"))
+    return out.select(*out.columns[:-1], files_ok.alias("files_ok"), dirs_ok.alias("dirs_match"), (files_ok & dirs_ok).alias("ok"))
 
 
 def verify_export(
@@ -230,22 +235,29 @@ def verify_export(
     keys: Sequence[str] = KEYS,
     date_column: str = "extract_date",
     amount: str = "total_amt",
-    max_files: int = 1,
+    max_rows_per_file: int | None = None,
 ) -> DataFrame:
     """V1 + V2 + V3 in one row, listing the export tree once.
 
+    With ``extract_date`` only the files of that date are looked at, as only its rows
+    are: other dates may have been exported to the same tree.
+
     The inventory (one row per file) is cached for the two checks that use
     it and released afterwards.  Reconciliation runs only when the layout is
     valid (its fields are NULL otherwise).  ``verified`` = layout ok,
-    reconciliation ok, directory set matches, files per partition within
-    ``max_files``.
+    reconciliation ok, directory set matches, files per partition within what
+    ``max_rows_per_file`` makes of its rows.
     """
     inv, exists = file_inventory(spark, path, keys)
+    if extract_date is not None and date_column in keys:
+        # Files off the pattern have no date and stay, to be reported.
+        day = str(parse_date(extract_date))
+        inv = inv.filter(F.col(date_column).isNull() | (F.col(date_column) == day))
     inv = inv.persist()
     try:
         layout = layout_report(spark, path, keys, inventory=(inv, exists))
         dated = source if extract_date is None else source.filter(date_equals(date_column, extract_date))
-        dist = partition_distribution(spark, path, dated, keys, max_files, inventory=(inv, exists))
+        dist = partition_distribution(spark, path, dated, keys, max_rows_per_file, inventory=(inv, exists))
         lay_row, dist_row = layout.first(), dist.first()
     finally:
         inv.unpersist()

@@ -38,7 +38,7 @@ SALES_SCHEMA = T.StructType(
     ]
 )
 
-TABLE_COMMENT = "Synthetic high-volume retail transactions for the partitioned export benchmark"
+TABLE_COMMENT = "Sales rows by extract date, clustered by territory and store"
 
 
 def ddl_columns(schema: T.StructType) -> str:
@@ -48,8 +48,3 @@ def ddl_columns(schema: T.StructType) -> str:
         null = "" if field.nullable else " NOT NULL"
         parts.append(f"`{field.name}` {field.dataType.simpleString()}{null}")
     return ",\n  ".join(parts)
-
-
-def key_types(schema: T.StructType, keys) -> dict[str, T.DataType]:
-    by_name = {f.name: f.dataType for f in schema.fields}
-    return {k: by_name.get(k, T.StringType()) for k in keys}

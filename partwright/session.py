@@ -46,12 +46,6 @@ def build_session(
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
-    if master and master.startswith("local"):
-        # Parallel listing spreads remote-storage LIST latency over executors;
-        # in local mode those "executors" are threads of this JVM and the
-        # listing job only adds task overhead (5,000 directories: 4.0 s as a
-        # job, 1.05 s on the driver), so list on the driver here.
-        settings["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "1000000"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -65,7 +59,8 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    Read from the session; a local one is created only when it is unset.
+    Read from the session; where it is unset a local session gets a folder of its
+    own, any other master raises: executors would not see a folder of the driver.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +70,8 @@ def scratch_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="partwright-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")

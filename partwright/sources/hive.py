@@ -31,13 +31,20 @@ def read_partitioned(
     key_types: Mapping[str, T.DataType] | None = None,
     body_schema: T.StructType | None = None,
     columns: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Read ``path`` (a Hive tree ``k1=../k2=../..``) with typed key columns.
 
     ``key_types`` defaults to STRING for every key except ``extract_date``
     (DATE).  ``columns`` reorders/selects the result (e.g. the source's
-    column order; keys come last on read-back otherwise).
+    column order; keys come last on read-back otherwise).  With ``schema``, the
+    exported frame's, nothing is inferred: the tree is listed once, and an export
+    without files reads as an empty frame.
     """
+    if schema is not None:
+        wanted = {k: schema[k].dataType for k in keys if k in schema.names}
+        key_types = {**wanted, **(key_types or {})}
+        body_schema = body_schema or schema
     types = {k: (T.DateType() if k == "extract_date" else T.StringType()) for k in keys}
     types.update(key_types or {})
     body = body_schema if body_schema is not None else _body_schema(spark, path, keys)

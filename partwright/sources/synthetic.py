@@ -73,7 +73,7 @@ def sales_rows(indices: DataFrame, extract_date, idx_col: str = "idx") -> DataFr
         _label("TERR_", idx, "_terr", N_TERRITORIES, 2).alias("terr_cd"),
         _label("STORE_", idx, "_store", N_STORES, 4).alias("store_id"),
         day.alias("extract_date"),
-        F.md5(idx.cast("string")).alias("order_id"),
+        F.md5(F.concat_ws("/", day.cast("string"), idx.cast("string"))).alias("order_id"),
         _label("CUST_", idx, "_cust", N_CUSTOMERS, 8).alias("customer_id"),
         _label("SKU_", idx, "_sku", N_SKUS, 6).alias("product_sku"),
         _pick(CATEGORIES, idx, "_cat").alias("category"),

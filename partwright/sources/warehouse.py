@@ -20,7 +20,7 @@ from ..functions.dates import date_literal, parse_date
 
 
 def date_equals(column: str | Column, extract_date) -> Column:
-    """``column = DATE 'd'``; a malformed date raises (ANSI cast)."""
+    """``column = DATE 'd'``; a malformed date raises."""
     col = F.col(column) if isinstance(column, str) else column
     return col == date_literal(extract_date)
 
