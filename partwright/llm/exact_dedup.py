@@ -48,13 +48,13 @@ def exact_dedup(
         for r in base.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).collect()
     ]
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(hot_runs)).cast("int")
-    run_of = F.when(F.col("digest").isin(hot), salt).otherwise(F.lit(-1)) if hot else F.lit(-1)
-    block = ("prefix", "digest", "salt")
-    ranged = (
-        base.withColumn("prefix", F.expr(f"substring(cast(content as binary), 1, {PREFIX_BYTES})"))
-        .withColumn("salt", run_of)
-        .repartitionByRange(*block)
-    )
+    keyed = base.withColumn("prefix", F.expr(f"substring(cast(content as binary), 1, {PREFIX_BYTES})"))
+    block = ["prefix", "digest"]
+    if hot:
+        keyed = keyed.withColumn("salt", F.when(F.col("digest").isin(hot), salt).otherwise(F.lit(-1)))
+        block.append("salt")
+    # The windows below are over exactly the ranged columns, so they need no other exchange.
+    ranged = keyed.repartitionByRange(*block)
 
     largest = keep == "largest"
     order = F.col("doc_id").desc_nulls_last() if largest else F.col("doc_id").asc_nulls_last()
@@ -72,7 +72,7 @@ def exact_dedup(
     whole = Window.partitionBy(*block, "run")
     rows = runs.select(
         "doc_id",
-        "salt",
+        *block[2:],
         "text_sha256",
         "first",
         best("doc_id").over(whole).alias("run_keep"),
