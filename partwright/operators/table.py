@@ -10,6 +10,7 @@ statistics and point filters on those columns skip files and row groups.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from contextlib import contextmanager
@@ -23,6 +24,8 @@ from ..schema import CLUSTER_COLUMNS, DATE_COLUMN, SALES_SCHEMA, TABLE_COMMENT,
 from .metrics import not_null_contract
 
 
+# Table property that lists the NOT NULL columns; the catalog itself does not keep them for file tables.
+NOT_NULL_PROPERTY = "partwright.not_null"
 DYNAMIC = ("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
@@ -57,10 +60,12 @@ def create_table(
 ) -> None:
     """K8 — create the table if it does not exist (idempotent)."""
     loc = f"\nLOCATION {_text(location)}" if location else ""
+    required = [f.name for f in schema.fields if not f.nullable]
     parts = ", ".join("`" + c.replace("`", "``") + "`" for c in partition_by)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quoted(name)} (\n  {ddl_columns(schema)}\n)\n"
-        f"USING parquet\nPARTITIONED BY ({parts}){loc}\nCOMMENT {_text(comment)}"
+        f"USING parquet\nPARTITIONED BY ({parts}){loc}\nCOMMENT {_text(comment)}\n"
+        f"TBLPROPERTIES ({_text(NOT_NULL_PROPERTY)} = {_text(json.dumps(required))})"
     )
 
 
@@ -83,10 +88,11 @@ def _clustered(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> Data
 
 def _checked(df: DataFrame, name: str, cluster_by: Sequence[str], enforce: bool) -> list[str]:
     """Partition columns of the table, after the rows were held against its NOT NULL columns and keys."""
-    listed = df.sparkSession.catalog.listColumns(name)
-    parts = [c.name for c in listed if c.isPartition]
+    spark = df.sparkSession
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     if enforce:
-        required = [c.name for c in listed if not c.nullable]
+        known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").collect()}
+        required = json.loads(known.get(NOT_NULL_PROPERTY, "[]"))
         check_not_null(df, keys=[*parts, *cluster_by], columns=required)
     return parts
 

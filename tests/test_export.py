@@ -181,10 +181,11 @@ def test_split_plan_with_hot_tuple_broadcasts_bounded_side(spark, small_frame):
     plan = _plan(prep.frame)
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
-    # the big side reaches exactly one exchange: keys plus the salt
+    # the big side reaches exactly one exchange, by the number of its task
     big_side = plan.split("BroadcastExchange")[0]
-    assert big_side.count("hashpartitioning(") == 1
-    assert "__pw_salt" in big_side
+    assert big_side.count("Exchange ") == 1
+    assert "hashpartitioning(" not in big_side
+    assert "__pw_task" in big_side
     prep.release()
 
 
@@ -257,3 +258,58 @@ def test_sort_within_clusters_each_file(spark, small_frame, tmp_path):
     assert len(files) == 1
     ids = pq.read_table(files[0]).column("order_id").to_pylist()
     assert ids == sorted(ids)
+
+
+def _skewed(spark, hot=2000, copies=800):
+    """Two hot tuples, one of them exact copies, and cold ones; a map column is carried along."""
+    import datetime as dt
+
+    rows = [("H", i, dt.date(2026, 3, 1), {"k": i}) for i in range(hot)]
+    rows += [("C", 7, dt.date(2026, 3, 1), {"k": 7})] * copies
+    rows += [(f"t{i}", i, dt.date(2026, 3, 1), None) for i in range(30)]
+    return spark.createDataFrame(rows, "terr string, v long, extract_date date, m map<string,long>").repartition(6)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_hot_slots_are_bounded_per_task_and_file(spark, tmp_path, broadcast_bytes):
+    from pyspark.sql import functions as F
+
+    from partwright.operators.export import prepare_export, write_prepared
+
+    df, bound = _skewed(spark), 100
+    prep = prepare_export(
+        df, keys=("terr", "extract_date"), max_rows_per_file=bound, hot_broadcast_bytes=broadcast_bytes
+    )
+    tasks = prep.frame.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("n"), F.count_distinct("terr").alias("keys")
+    )
+    hot_tasks = tasks.join(
+        prep.frame.filter("terr in ('H', 'C')").select(F.spark_partition_id().alias("p")).distinct(), "p"
+    )
+    worst = hot_tasks.agg(F.max("n"), F.max("keys")).first()
+    assert worst[0] <= bound and worst[1] == 1
+    path = str(tmp_path / "out")
+    write_prepared(prep, path, overwrite="all")
+    back = spark.read.parquet(path)
+    files = back.groupBy("terr", F.col("_metadata.file_path").alias("f")).count()
+    assert files.agg(F.max("count")).first()[0] <= bound
+    assert files.filter("terr like 't%'").groupBy("terr").count().filter("count > 1").isEmpty()
+    assert back.groupBy("terr").count().filter("terr = 'C'").first()["count"] == 800
+    assert back.agg(F.sum("v")).first()[0] == df.agg(F.sum("v")).first()[0]
+
+
+def test_single_partition_directory_text_is_sparks(spark, tmp_path):
+    import datetime as dt
+
+    from partwright.operators.export import export_single_partition
+
+    df = spark.createDataFrame(
+        [(True, dt.datetime(2024, 1, 15, 10), 1e7, 1)], "b boolean, t timestamp, f double, v int"
+    )
+    keys = ("b", "t", "f")
+    export_partitioned(df, str(tmp_path / "a"), overwrite="all", keys=keys)
+    target = export_single_partition(
+        df, str(tmp_path / "b"), {"b": True, "t": dt.datetime(2024, 1, 15, 10), "f": 1e7}, keys=keys
+    )
+    whole = {str(p.parent.relative_to(tmp_path / "a")) for p in (tmp_path / "a").rglob("*.parquet")}
+    assert whole == {target.removeprefix(str(tmp_path / "b") + "/")}

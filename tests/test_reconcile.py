@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import D1, parquet_files, rows_for
 from partwright.operators.export import export_partitioned
-from partwright.plans.reconcile import layout_report, partition_distribution, reconcile
+from partwright.plans.reconcile import layout_report, partition_distribution, reconcile, verify_export
 
 KEYS = [(f"T{i % 3}", f"S{i}") for i in range(6)]
 
@@ -111,3 +111,43 @@ def test_checks_work_with_other_keys(spark, tmp_path):
     lay = layout_report(spark, out, keys).first()
     assert lay["layout_ok"]
     assert partition_distribution(spark, out, li, keys).first()["ok"]
+
+
+def test_each_date_of_a_tree_verifies_alone(spark, small_frame, tmp_path):
+    from conftest import D1, D2, rows_for
+
+    path = str(tmp_path / "two")
+    one, two = small_frame(rows_for([("A", "1"), ("B", "2")], D1)), small_frame(rows_for([("A", "1")], D2))
+    export_partitioned(one, path, overwrite="all")
+    export_partitioned(two, path, overwrite="partitions")
+    both = one.unionByName(two)
+    assert verify_export(spark, both, path, D1).first()["verified"]
+    assert verify_export(spark, both, path, D2).first()["verified"]
+    # a directory that the source doesn't have, of the same date only
+    export_partitioned(small_frame(rows_for([("Z", "9")], D2)), path, overwrite="partitions")
+    assert verify_export(spark, both, path, D1).first()["verified"]
+    assert not verify_export(spark, both, path, D2).first()["verified"]
+
+
+def test_split_tuples_verify_with_their_bound_only(spark, small_frame, tmp_path):
+    from conftest import D1, rows_for
+
+    path = str(tmp_path / "split")
+    df = small_frame(rows_for([("A", "1")], D1, n_per_key=50) + rows_for([("B", "2")], D1, start=900))
+    export_partitioned(df, path, overwrite="all", max_rows_per_file=10)
+    assert verify_export(spark, df, path, D1, max_rows_per_file=10).first()["verified"]
+    assert not verify_export(spark, df, path, D1).first()["verified"]
+
+
+def test_doubles_reconcile_exactly(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select(
+        F.concat(F.lit("T"), F.col("id") % 3).alias("terr_cd"),
+        F.lit("S").alias("store_id"),
+        F.lit("2026-03-01").cast("date").alias("extract_date"),
+        (F.rand(3) * 1e9).alias("total_amt"),
+    )
+    path = str(tmp_path / "doubles")
+    export_partitioned(df, path, overwrite="all")
+    assert reconcile(spark, df, path).first()["all_ok"]

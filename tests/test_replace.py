@@ -66,3 +66,31 @@ def test_replace_date_multi_level_drops_stale_tuples(spark, small_frame, tmp_pat
     d1 = back.filter(F.col("extract_date") == D1)
     assert d1.count() == 1  # T2 under D1 is gone, as after DELETE + INSERT
     assert back.filter(F.col("extract_date") == D2).count() == 6
+
+
+def test_replace_refuses_rows_read_from_the_target(spark, small_frame, tmp_path):
+    path = str(tmp_path / "t")
+    _table(spark, small_frame, path)
+    before = parquet_files(path)
+    own = read_partitioned(spark, path, keys=("extract_date",)).filter(F.col("extract_date") == D1)
+    with pytest.raises(ValueError, match="read from it"):
+        replace_date(own, path, D1)
+    assert parquet_files(path) == before
+
+
+def test_replace_with_several_keys_writes_one_file_per_tuple(spark, small_frame, tmp_path):
+    path, keys = str(tmp_path / "t"), ("extract_date", "terr_cd", "store_id")
+    many = [(f"T{i}", f"S{k}") for i in range(5) for k in range(3)]
+    export_partitioned(small_frame(rows_for(many, D1) + rows_for(many, D2)), path, overwrite="all", keys=keys)
+    replace_date(small_frame(rows_for(many[:7], D1, n_per_key=9)).repartition(8), path, D1, keys=keys)
+    files = [str(f) for f in parquet_files(path)]
+    assert sum(str(D1) in f for f in files) == 7 and sum(str(D2) in f for f in files) == 15
+    back = read_partitioned(spark, path, keys=keys)
+    assert back.filter(F.col("extract_date") == D1).count() == 63
+
+
+def test_malformed_dates_are_refused_without_ansi(spark):
+    from partwright.functions.dates import date_literal
+
+    with pytest.raises(ValueError):
+        date_literal("2024-13-45")
