@@ -52,6 +52,7 @@ ALLOWED_HOSTS = (
     "blog.ththon.example.net", "www.tionble.example.com", "m.ththin.example.org", "therhe.example.net",
     "tionsh.example.net", "recipes.example.com", "history.example.org", "science.example.edu", "travel.example.net",
     "school.example.org", "city.example.gov", "health.example.org", "books.example.com", "music.example.net",
+    "example.net", "foo.net", "bar.org", "site.net", "my-page.org", "team.com", "docs.net", "maps.org", "photos.net",
     "sports.example.com", "weather.example.org", "garden.example.net", "code.example.org", "art.example.com",
 )
 ALLOWED_PATHS = (
