@@ -25,7 +25,7 @@ from partwright.llm.common import byte_slices, without
 
 PATH_DIMS, WORD_DIMS, MEASURES = 160, 48, 8
 HIDDEN = 20
-TRAINING_PAGES = 1000
+TRAINING_PAGES = 1400
 EPOCHS = 13
 SLICE_BYTES = 4 << 20
 # Blocks labelled at a time; a longer page is labelled alone.
@@ -465,6 +465,8 @@ class _PageMaker:
         if self.chance(0.25):
             at = int(self.rng.integers(len(parts) + 1))
             parts.insert(at, self.pick(self.advert, self.notice, self.share, self.form, self.sidebar)())
+        if self.chance(0.15):  # a short last paragraph after a long one
+            parts += [f"<p>{_MAIN}{self.odd_text()}</p>", f"<p>{_MAIN}{self.sentences(1, 1)}</p>"]
         text = self.pick("", title, title, title, title) + "".join(parts)
         if self.chance(0.15):
             text = f"<header>{title}</header>" + "".join(parts)
