@@ -5,9 +5,9 @@ band.  A band's universe of shingles is hashed into more than H segments, so two
 sets agree on a whole segment (pigeonhole).  Some segments may also match with one
 shingle deleted; those count twice.  How many of each kind a band uses is chosen by a
 cost model.  Signatures of segments travel packed in byte arrays and meet in buckets;
-bucket members are linked to the bucket's first document, links are verified on the
-whole sets, and what the verified links leave apart within a bucket is compared pair
-by pair behind an exact bound.  Equal sets are one node throughout.
+bucket members are tried against the bucket's first set, and what that leaves apart within a
+bucket against each other.  Pairs that an exact bound from sizes and parity sketches
+allows are verified on the whole sets.  Equal sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,17 @@ from partwright.llm.shingles import WORDS, shingle_sets
 
 PERCENT = 80
 SLICE_BYTES = 8 << 20
-# Signatures met in one task, about: 14 bytes each.
+# Signatures met in one task, about.
 TASK_SIGNATURES = 3_000_000
-# A parity sketch has at least as many bits as its set has shingles, within these limits.
-SKETCH_BITS = (64, 4096)
+# Of a signature's 64 bits so many bytes travel, besides the task they choose; a false match is only one more pair to verify.
+SIGNATURE_BYTES = 5
+# Sets that a task remembers in order to send equal ones once.
+RECALLED_SETS = 1_000_000
+# Buckets of more sets are compared one by one; rows of smaller ones compared together.
+SMALL_BUCKET = 64
+HELD_ROWS = 50_000
+# A parity sketch has at least twice as many bits as its set has shingles, within these limits.
+SKETCH_BITS = (64, 8192)
 
 _SEED = np.uint64(0x8CB92BA72F3D8DD7)
 _TOKEN = np.uint64(0x27D4EB2F165667C5)
@@ -128,7 +135,7 @@ def signatures(grams, owner, sizes, role: int, percent: int) -> tuple[np.ndarray
 def sketches(grams, owner, sizes) -> list[bytes]:
     """Parity of the shingles that hash to each bit; sketches differ in no more bits than their sets in shingles."""
     least, most = SKETCH_BITS
-    bits = np.clip(2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64), least, most)
+    bits = np.clip(2 ** np.ceil(np.log2(2 * np.maximum(sizes, 1))).astype(np.int64), least, most)
     base = np.concatenate([[0], np.cumsum(bits)])
     at = base[owner] + (mix64(grams ^ _TOKEN) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
     packed = np.packbits((np.bincount(at, minlength=int(base[-1])) & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -154,40 +161,57 @@ def _describe(batches, words):
             grams, owner = shingle_sets(*utf8_parts(part.column("text")), words)
             n = part.num_rows
             sizes = np.bincount(owner, minlength=n)
-            one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-            np.add.at(one, owner, mix64(grams ^ _SEED))
-            np.add.at(two, owner, mix64(grams + _SEED))
+            one, two = _digests(grams, owner, n)
             yield pa.record_batch(
                 [
                     part.column("id"),
                     pa.array(sizes.astype(np.int64)),
-                    pa.array(one.view(np.int64)),
-                    pa.array(two.view(np.int64)),
+                    pa.array(one),
+                    pa.array(two),
                     pa.array(sketches(grams, owner, sizes), pa.binary()),
                 ],
                 names=["id", "n", "one", "two", "sketch"],
             )
 
 
+def _digests(grams, owner, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each set."""
+    one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    np.add.at(one, owner, mix64(grams ^ _SEED))
+    np.add.at(two, owner, mix64(grams + _SEED))
+    return one.view(np.int64), two.view(np.int64)
+
+
 def _emit(batches, tasks, words, percent):
+    """Signatures of the sets, packed by task; of equal sets that a task meets, the first only, as far as it recalls."""
     narrow = np.uint16 if tasks <= 1 << 16 else np.uint32
+    met: set[int] = set()
     for batch in batches:
         for part in byte_slices(batch, "text", SLICE_BYTES):
             grams, owner = shingle_sets(*utf8_parts(part.column("text")), words)
-            sizes = np.bincount(owner, minlength=part.num_rows)
-            ids = part.column("id").to_numpy(zero_copy_only=False)
+            n = part.num_rows
+            names, _ = _digests(grams, owner, n)
+            fresh = np.zeros(n, bool)
+            for i, name in enumerate(names.tolist()):
+                if name not in met:
+                    met.add(name)
+                    fresh[i] = True
+            if len(met) > RECALLED_SETS:
+                met.clear()
+            grams, owner = grams[fresh[owner]], owner[fresh[owner]]
+            sizes = np.bincount(owner, minlength=n)
             for role in (0, 1):
                 sig, doc = signatures(grams, owner, sizes, role, percent)
                 task = (sig % np.uint64(tasks)).astype(narrow)
                 order = np.argsort(task, kind="stable")
                 sig, doc, task = sig[order], doc[order], task[order]
-                short = sig.view(np.uint8).reshape(-1, 8)[:, 2:]
+                short = sig.view(np.uint8).reshape(-1, 8)[:, 8 - SIGNATURE_BYTES :]
                 cuts = _runs(task)
-                rows = {"task": [], "ids": [], "sig": [], "who": []}
+                rows = {"task": [], "names": [], "sig": [], "who": []}
                 for a, b in zip(cuts, cuts[1:], strict=False):
                     present, who = np.unique(doc[a:b], return_inverse=True)
                     rows["task"].append(int(task[a]))
-                    rows["ids"].append(ids[present].tobytes())
+                    rows["names"].append(names[present].tobytes())
                     rows["sig"].append(np.ascontiguousarray(short[a:b]).tobytes())
                     rows["who"].append(who.astype("<u2" if len(present) <= 1 << 16 else "<u4").tobytes())
                 if rows["task"]:
@@ -195,125 +219,210 @@ def _emit(batches, tasks, words, percent):
                         [
                             pa.array(rows["task"], pa.int32()),
                             pa.array([role] * len(rows["task"]), pa.int32()),
-                            *[pa.array(rows[c], pa.binary()) for c in ("ids", "sig", "who")],
+                            *[pa.array(rows[c], pa.binary()) for c in ("names", "sig", "who")],
                         ],
-                        names=["task", "role", "ids", "sig", "who"],
+                        names=["task", "role", "names", "sig", "who"],
                     )
 
 
 def _meet(batches):
-    """Members of the buckets with two or more documents, and each bucket's first document."""
-    sig, ids, role, task = [], [], [], 0
+    """Members of the buckets with two or more sets, and each bucket's first set."""
+    sig, name, role, task = [], [], [], 0
     for batch in batches:
         for i in range(batch.num_rows):
-            packed = np.frombuffer(batch.column("sig")[i].as_py(), np.uint8).reshape(-1, 6)
+            packed = np.frombuffer(batch.column("sig")[i].as_py(), np.uint8).reshape(-1, SIGNATURE_BYTES)
             who = batch.column("who")[i].as_py()
             who = np.frombuffer(who, "<u2" if len(who) == 2 * len(packed) else "<u4")
             wide = np.zeros((len(packed), 8), np.uint8)
-            wide[:, 2:] = packed
+            wide[:, 8 - SIGNATURE_BYTES :] = packed
             sig.append(wide.view(np.uint64).ravel())
-            ids.append(np.frombuffer(batch.column("ids")[i].as_py(), np.int64)[who])
+            name.append(np.frombuffer(batch.column("names")[i].as_py(), np.int64)[who])
             role.append(np.full(len(packed), batch.column("role")[i].as_py(), np.int8))
             task = batch.column("task")[i].as_py()
     if not sig:
         return
-    sig, ids, role = np.concatenate(sig), np.concatenate(ids), np.concatenate(role)
+    sig, name, role = np.concatenate(sig), np.concatenate(name), np.concatenate(role)
     order = np.argsort(sig, kind="stable")
-    sig, ids, role = sig[order], ids[order], role[order]
+    sig, name, role = sig[order], name[order], role[order]
     cuts = _runs(sig)
     many = np.repeat(np.diff(cuts) > 1, np.diff(cuts))
-    sig, ids, role = sig[many], ids[many], role[many]
-    order = np.lexsort((role, ids, sig))
-    sig, ids, role = sig[order], ids[order], role[order]
+    sig, name, role = sig[many], name[many], role[many]
+    order = np.lexsort((role, name, sig))
+    sig, name, role = sig[order], name[order], role[order]
     fresh = np.ones(len(sig), bool)
-    fresh[1:] = (sig[1:] != sig[:-1]) | (ids[1:] != ids[:-1])
-    sig, ids, role = sig[fresh], ids[fresh], role[fresh]
+    fresh[1:] = (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])
+    sig, name, role = sig[fresh], name[fresh], role[fresh]
     cuts = _runs(sig)
     if len(cuts) < 2:
         return
     last = np.iinfo(np.int64).max
-    leader = np.minimum.reduceat(np.where(role == 0, ids, last), cuts[:-1])
+    leader = np.minimum.reduceat(np.where(role == 0, name, last), cuts[:-1])
     good = (np.diff(cuts) > 1) & (leader != last)
     keep = np.repeat(good, np.diff(cuts))
     leader = np.repeat(leader, np.diff(cuts))[keep]
     bucket = pair64(sig[keep], np.full(len(leader), task, np.uint64)).view(np.int64)
-    ids, role = ids[keep], role[keep].astype(np.int32)
+    name, role = name[keep], role[keep].astype(np.int32)
     for a in range(0, len(bucket), 100_000):
         b = a + 100_000
         yield pa.record_batch(
-            [pa.array(bucket[a:b]), pa.array(ids[a:b]), pa.array(role[a:b]), pa.array(leader[a:b])],
-            names=["bucket", "id", "role", "leader"],
+            [pa.array(bucket[a:b]), pa.array(name[a:b]), pa.array(role[a:b]), pa.array(leader[a:b])],
+            names=["bucket", "one", "role", "leader"],
         )
 
 
-def _cross_pairs(rows: dict, percent: int):
-    """Pairs of a bucket in different components, one of role 0, that the size and sketch bounds leave."""
-    order = np.argsort(rows["n"], kind="stable")
-    ids, n, component, role = (rows[c][order] for c in ("id", "n", "component", "role"))
-    least = min(len(s) for s in rows["sketch"])
-    bits = np.stack([folded(rows["sketch"][k], least) for k in order])
-    bits = np.ascontiguousarray(bits).view(np.uint64)
-    out = []
-    for i in range(len(ids) - 1):
-        stop = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))
-        j = np.arange(i + 1, stop)
-        j = j[(component[j] != component[i]) & ((role[j] == 0) | (role[i] == 0))]
-        if len(j):
-            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            j = j[apart <= (100 - percent) * (n[i] + n[j]) // (100 + percent)]
-            out.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
-    return np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-
-
-def _apart(batches, percent):
-    """Pairs left to verify; a bucket's rows are consecutive."""
-    names = ("id", "n", "component", "role")
-    bucket, parts = None, []
-
-    def finish():
+def _differing(bits_a: np.ndarray, bits_b: np.ndarray) -> np.ndarray:
+    """Bits in which sketches differ, at most as many as their sets have differing shingles."""
+    return np.bitwise_count(bits_a ^ bits_b).sum(axis=-1, dtype=np.int64)
+
+
+def _stacked(found: list[bytes]) -> np.ndarray:
+    """Sketches folded to the shortest one's size, as rows of 64-bit words."""
+    least = min(map(len, found))
+    return np.ascontiguousarray(np.stack([folded(x, least) for x in found])).view(np.uint64)
+
+
+def _large_pairs(rows: dict, percent: int) -> np.ndarray:
+    """(row, row, differing bits) of pairs of one large bucket that may be links between its components.
+
+    Only members outside the commonest component are compared with the others.
+    """
+    n, component, role, leads = (rows[c] for c in ("n", "component", "role", "leads"))
+    bits = _stacked(rows["sketch"])
+    names, which, count = np.unique(component, return_inverse=True, return_counts=True)
+    inner = which == np.argmax(count)
+    place = np.arange(len(n))
+    out = [np.zeros((3, 0), np.int64)]
+    for i in np.flatnonzero(~inner & ~leads):
+        j = np.flatnonzero(
+            (component != component[i])
+            & (inner | (place > i))
+            & ~leads
+            & ((role == 0) | (role[i] == 0))
+            & (np.maximum(n, n[i]) * percent <= 100 * np.minimum(n, n[i]))
+        )
+        apart = _differing(bits[j], bits[i])
+        near = apart * (100 + percent) <= (100 - percent) * (n[j] + n[i])
+        out.append(np.stack([np.full(int(near.sum()), i), j[near], apart[near]]))
+    return np.concatenate(out, axis=1)
+
+
+def _small_pairs(rows: dict, starts: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """The same of many small buckets, whose rows begin at ``starts``; a pair of sets counts once."""
+    left, right = [], []
+    for k in np.unique(sizes):
+        i, j = np.triu_indices(int(k), 1)
+        first = starts[sizes == k][:, None]
+        left.append((first + i).ravel())
+        right.append((first + j).ravel())
+    left, right = np.concatenate(left), np.concatenate(right)
+    n, component, role, ids, leads = (rows[c] for c in ("n", "component", "role", "id", "leads"))
+    small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+    ok = (
+        (component[left] != component[right])
+        & ((role[left] == 0) | (role[right] == 0))
+        & (large * percent <= 100 * small)
+        & ~(leads[left] | leads[right])
+    )
+    left, right = left[ok], right[ok]
+    swap = ids[left] > ids[right]
+    left, right = np.where(swap, right, left), np.where(swap, left, right)
+    order = np.lexsort((ids[right], ids[left]))
+    left, right = left[order], right[order]
+    fresh = np.ones(len(left), bool)
+    fresh[1:] = (ids[left][1:] != ids[left][:-1]) | (ids[right][1:] != ids[right][:-1])
+    left, right = left[fresh], right[fresh]
+    apart = [
+        int(_differing(*_stacked([rows["sketch"][a], rows["sketch"][b]])))
+        for a, b in zip(left.tolist(), right.tolist(), strict=True)
+    ]
+    apart = np.array(apart, np.int64)
+    near = apart * (100 + percent) <= (100 - percent) * (n[left] + n[right])
+    return np.stack([left[near], right[near], apart[near]])
+
+
+def _apart(batches, percent, best):
+    """Pairs left to verify; a bucket's rows are consecutive.
+
+    Pairs with a bucket's first set have been tried.  ``best`` gives, for two components, the
+    most similar pair of those met together only.
+    """
+    names = ("bucket", "id", "n", "component", "role", "leads")
+    parts, held = [], 0
+
+    def finish(parts):
         rows = {c: np.concatenate([p[c] for p in parts]) for c in names}
-        rows["sketch"] = [s for p in parts for s in p["sketch"]]
-        a, b = _cross_pairs(rows, percent)
-        return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+        rows["sketch"] = [x for p in parts for x in p["sketch"]]
+        cuts = _runs(rows["bucket"])
+        sizes = np.diff(cuts)
+        small = sizes <= SMALL_BUCKET
+        out = [_small_pairs(rows, cuts[:-1][small], sizes[small], percent)] if small.any() else []
+        for k in np.flatnonzero(~small):
+            a, b = cuts[k], cuts[k + 1]
+            found = _large_pairs({c: v[a:b] for c, v in rows.items()}, percent)
+            out.append(found + np.array([[a], [a], [0]]))
+        left, right, apart = np.concatenate(out, axis=1)
+        if best:
+            one, two = rows["component"][left], rows["component"][right]
+            one, two = np.minimum(one, two), np.maximum(one, two)
+            order = np.lexsort((apart, two, one))
+            one, two = one[order], two[order]
+            first = np.ones(len(order), bool)
+            first[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            left, right = left[order[first]], right[order[first]]
+        one, two = rows["id"][left], rows["id"][right]
+        pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
+        return pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     for batch in batches:
-        buckets = batch.column("bucket").to_numpy()
-        cuts = _runs(buckets)
-        whole = {c: batch.column(c).to_numpy() for c in names}
-        sketch = batch.column("sketch").to_pylist()
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if parts and buckets[a] != bucket:
-                yield finish()
-                parts = []
-            bucket = buckets[a]
-            parts.append({c: whole[c][a:b] for c in names} | {"sketch": sketch[a:b]})
+        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names} | {"sketch": batch.column("sketch").to_pylist()}
+        # Hold back the last bucket, which may go on in the next batch.
+        last = int(_runs(rows["bucket"])[-2]) if batch.num_rows else 0
+        if last and held + last >= HELD_ROWS:
+            parts.append({c: v[:last] for c, v in rows.items()})
+            yield finish(parts)
+            parts, held = [{c: v[last:] for c, v in rows.items()}], batch.num_rows - last
+        elif batch.num_rows:
+            parts.append(rows)
+            held += batch.num_rows
     if parts:
-        yield finish()
+        yield finish(parts)
 
 
-def _sets(batches, words):
+def _possible(batches, percent):
+    """The pairs that sizes and sketches allow to be within the threshold."""
     for batch in batches:
-        for part in byte_slices(batch, "text", SLICE_BYTES):
-            grams, owner = shingle_sets(*utf8_parts(part.column("text")), words)
-            cuts = np.searchsorted(owner, np.arange(part.num_rows + 1))
-            yield pa.record_batch(
-                [
-                    part.column("id"),
-                    pa.array([grams[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
-                ],
-                names=["id", "grams"],
-            )
+        n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+        ok = np.maximum(n_a, n_b) * percent <= 100 * np.minimum(n_a, n_b)
+        sketch_a, sketch_b = (batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b"))
+        for i in np.flatnonzero(ok):
+            apart = int(_differing(*_stacked([sketch_a[i], sketch_b[i]])))
+            ok[i] = apart * (100 + percent) <= (100 - percent) * (n_a[i] + n_b[i])
+        keep = pa.array(ok)
+        yield pa.record_batch([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def _verify(batches, percent):
+def _verify(batches, words, percent):
+    """The pairs of texts within the threshold."""
     for batch in batches:
-        good = []
-        for one, two in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
-            one, two = np.frombuffer(one.as_py(), np.uint64), np.frombuffer(two.as_py(), np.uint64)
-            common = len(np.intersect1d(one, two, assume_unique=True))
-            good.append(100 * common >= percent * (len(one) + len(two) - common))
-        keep = pa.array(good, pa.bool_())
-        yield pa.record_batch([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+        for part in byte_slices(batch, "text_b", SLICE_BYTES // 2):
+            n = part.num_rows
+            # A text that stands in several rows running is taken apart once.
+            leaders = part.column("a").to_numpy()
+            new = np.ones(n, bool)
+            new[1:] = leaders[1:] != leaders[:-1]
+            ones, which = part.column("text_a").filter(pa.array(new)), np.cumsum(new) - 1
+            sides = []
+            for texts in (ones, part.column("text_b")):
+                grams, owner = shingle_sets(*utf8_parts(texts), words)
+                sides.append((grams, np.searchsorted(owner, np.arange(len(texts) + 1))))
+            (grams_a, cut_a), (grams_b, cut_b) = sides
+            good = []
+            for i, k in enumerate(which.tolist()):
+                one, two = grams_a[cut_a[k] : cut_a[k + 1]], grams_b[cut_b[i] : cut_b[i + 1]]
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                good.append(100 * common >= percent * (len(one) + len(two) - common))
+            keep = pa.array(good, pa.bool_())
+            yield pa.record_batch([part.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
 def _struct(**fields) -> T.StructType:
@@ -349,59 +458,76 @@ def ngram_join(
     total = nodes.agg(F.sum("n")).first()[0] or 0
     tasks = max(shuffle_partitions(spark), -(-total // (2 * TASK_SIGNATURES)))
 
-    own = texts.join(nodes.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
-    packed = own.mapInArrow(
-        lambda batches: _emit(batches, tasks, words, percent), _struct(task=whole, role=whole, ids=raw, sig=raw, who=raw)
+    packed = texts.mapInArrow(
+        lambda batches: _emit(batches, tasks, words, percent),
+        _struct(task=whole, role=whole, names=raw, sig=raw, who=raw),
     )
     members = written(
         packed.repartitionById(tasks, F.col("task")).mapInArrow(
-            _meet, _struct(bucket=long, id=long, role=whole, leader=long)
+            _meet, _struct(bucket=long, one=long, role=whole, leader=long)
         ),
         "buckets",
     )
+    # Buckets know sets by a digest, from here on nodes stand for them.
+    facts = written(
+        nodes.join(described.filter("n > 0"), key)
+        .filter("id = node")
+        .groupBy("one", "node")
+        .agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        .withColumnRenamed("node", "id"),
+        "node_facts",
+    )
+    one_side = facts.select("one", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    leader_side = facts.select(
+        F.col("one").alias("leader"), F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")
+    )
+    first = (
+        members.filter("one <> leader").select("one", "leader").distinct().join(one_side, "one").join(leader_side, "leader")
+    )
+    first = written(
+        first.filter("a <> b").mapInArrow(lambda batches: _possible(batches, percent), _struct(a=long, b=long)), "first_pairs"
+    )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        involved = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        sets = (
-            texts.join(involved, "id", "left_semi")
-            .mapInArrow(lambda batches: _sets(batches, words), _struct(id=long, grams=raw))
-            .dropDuplicates(["id"])
-        )
-        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a").join(
-            sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b"
-        )
-        return both.mapInArrow(lambda batches: _verify(batches, percent), _struct(a=long, b=long))
+        # Texts are shuffled, whatever the number of pairs: that number grows with the input.
+        one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
+        two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+        both = pairs.hint("merge").join(two, "b").hint("merge").join(one, "a")
+        return both.mapInArrow(lambda batches: _verify(batches, words, percent), _struct(a=long, b=long))
 
-    first = written(
-        members.filter("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(),
-        "first_pairs",
-    )
     edges = written(verified(first), "links")
     labels = connected_components(edges)
-
-    placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = (
-        placed.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
-        .select("bucket")
-    )
-    facts = nodes.join(described, key).filter("id = node").groupBy("id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    rest = (
-        placed.join(mixed, "bucket", "left_semi")
-        .join(facts, "id")
-        .select("bucket", "id", "n", "component", "role", "sketch")
-        .repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(lambda batches: _apart(batches, percent), _struct(a=long, b=long))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    rest = written(rest, "other_pairs")
-    if not rest.isEmpty():
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    # What the first sets of the buckets left apart: first the best pair of any two components, then all pairs.
+    for best in (True, False):
+        state = facts.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = (
+            members.join(state.select("one", "component"), "one")
+            .groupBy("bucket")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("sets"))
+            .filter("low <> high and sets > 2")
+            .select("bucket")
+        )
+        rest = (
+            members.join(mixed, "bucket", "left_semi")
+            .withColumn("leads", F.col("one") == F.col("leader"))
+            .join(state, "one")
+            .select("bucket", "id", "n", "component", "role", "leads", "sketch")
+            .repartition("bucket")
+            .sortWithinPartitions("bucket")
+            .mapInArrow(lambda batches, best=best: _apart(batches, percent, best), _struct(a=long, b=long))
+            .distinct()
+            .join(tried, ["a", "b"], "left_anti")
+        )
+        rest = written(rest, "other_pairs")
+        if rest.isEmpty():
+            continue
         more = written(verified(rest), "links")
+        tried = tried.union(rest)
         if not more.isEmpty():
-            labels = connected_components(edges.union(more))
+            edges = edges.union(more)
+            labels = connected_components(edges)
     named = nodes.join(labels.withColumnRenamed("id", "node"), "node", "left").select(
         *key, F.coalesce("component", "node").alias("component")
     )
@@ -410,3 +536,23 @@ def ngram_join(
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
     )
+
+
+def near_distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``df`` with one document of each component: the one whose id names it.
+
+    Documents without words and rows with a null id stay.  Of rows that share the id which
+    stays, one stays.
+    """
+    found = ngram_join(df, id_col, text_col, **options)
+    gone = (
+        found.filter("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.max(F.col("n_shingles") > 0).alias("worded"), F.min("component_id").alias("component"))
+        .filter("worded and component <> doc_id")
+        .select(F.col("doc_id").alias("__gone"))
+    )
+    left = df.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    apart = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))  # rows with a null id aren't gathered
+    again = F.row_number().over(Window.partitionBy(id_col, apart).orderBy(F.length(text_col).desc_nulls_last()))
+    return left.withColumn("__again", again).filter(F.col(id_col).isNull() | (F.col("__again") == 1)).drop("__again")
