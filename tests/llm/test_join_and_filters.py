@@ -344,3 +344,42 @@ def test_main_text_of_pages(spark):
     assert [got[i].text for i in (-1, -2, -3)] == ["", "", ""]
     assert np.mean([got[i].text == t for i, t in want.items()]) >= 0.98
     assert H.main_text(df.limit(0)).collect() == []
+
+
+def test_large_and_small_buckets_give_the_same_pairs():
+    from partwright.llm.ngram_join import _apart, _large_pairs, _small_pairs, sketches
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 120).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(120) < p], rng.integers(0, 1 << 63, k).astype(np.uint64)]))
+            for p, k in [(rng.uniform(0.6, 1), int(rng.integers(0, 25))) for _ in range(80)]]
+    n = np.array([len(s) for s in sets])
+    rows = {
+        "bucket": np.zeros(80, np.int64),
+        "id": rng.permutation(80),
+        "n": n,
+        "component": rng.choice(5, 80, p=[0.6, 0.1, 0.1, 0.1, 0.1]),
+        "role": rng.integers(0, 2, 80),
+        "leads": np.arange(80) == 7,
+        "sketch": sketches(np.concatenate(sets), np.repeat(np.arange(80), n), n),
+    }
+    as_set = lambda found: {(*sorted((int(a), int(b))), int(d)) for a, b, d in found.T}
+    large = as_set(_large_pairs(rows, 80))
+    small = as_set(_small_pairs(rows, np.array([0]), np.array([80]), 80))
+    # sketches are folded to the bucket's or to the pair's size, and a pair of links is in both
+    links = set()
+    for a in range(80):
+        for b in range(a + 1, 80):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            open_ = rows["component"][a] != rows["component"][b] and not (rows["role"][a] and rows["role"][b]) and 7 not in (a, b)
+            if open_ and 100 * common >= 80 * (n[a] + n[b] - common):
+                links.add((a, b))
+    assert links and links <= {p[:2] for p in large} and links <= {p[:2] for p in small}
+    table = pa.table({k: pa.array(v) if k != "sketch" else pa.array(v, pa.binary()) for k, v in rows.items()})
+    halves = [b for b in table.to_batches(max_chunksize=33)]
+    ids = rows["id"]
+    found = {(r["a"], r["b"]) for b in _apart(iter(halves), 80, False) for r in b.to_pylist()}
+    assert {tuple(sorted((int(ids[a]), int(ids[b])))) for a, b in links} <= found
+    best = [r for b in _apart(iter(halves), 80, True) for r in b.to_pylist()]
+    assert 0 < len(best) <= 10
