@@ -223,3 +223,16 @@ def score_quality(
         *kept, held_out(F.col(id_col)).alias("held_out"), model.column().alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= keep_at).cast("int"))
+
+
+def keep_quality(
+    df: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.3
+) -> DataFrame:
+    """The rows of ``df`` that :func:`score_quality` predicts to be of label 1, with the columns it passes through.
+
+    A plain filter would be moved below the statistics, with all of them repeated for every rule
+    that names them; a generator of one or no row stays where it is.
+    """
+    scored = score_quality(df, model, id_col, text_col, keep_at)
+    once = F.when(F.col("predicted") == 1, F.array(F.lit(1)))
+    return scored.select("*", F.explode(once).alias("__once")).drop("__once", "held_out", "score", "predicted")
