@@ -16,7 +16,7 @@ from partwright.llm.decontaminate import drop_contaminated
 from partwright.llm.line_dedup import line_dedup
 from partwright.llm.mixing import mix_sources
 from partwright.llm.ngram_join import near_distinct
-from partwright.llm.quality import fit_quality, score_quality
+from partwright.llm.quality import fit_quality, keep_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,7 +24,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = fit_quality(docs, read_table(spark, sf_dir, "labels"))
-    return score_quality(docs, model).filter(F.col("predicted") == 1).select(*COLUMNS)
+    return keep_quality(docs, model).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
