@@ -10,7 +10,7 @@ from partwright.llm.common import mix64, pair64
 
 WORDS = 5
 # Bytes hashed at a time; a text is cut at white space only.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E6C63D0876A3F35)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
