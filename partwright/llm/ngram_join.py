@@ -458,7 +458,8 @@ def ngram_join(
     total = nodes.agg(F.sum("n")).first()[0] or 0
     tasks = max(shuffle_partitions(spark), -(-total // (2 * TASK_SIGNATURES)))
 
-    packed = texts.mapInArrow(
+    # Sets without an id would lead buckets in which they are tried with nobody.
+    packed = texts.filter("id is not null").mapInArrow(
         lambda batches: _emit(batches, tasks, words, percent),
         _struct(task=whole, role=whole, names=raw, sig=raw, who=raw),
     )

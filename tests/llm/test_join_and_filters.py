@@ -93,6 +93,28 @@ def test_near_distinct_keeps_one_of_each_group(spark):
     assert kept.count(None) == 2
 
 
+def test_near_copies_without_an_id_hide_no_links(spark):
+    from partwright.llm.common import utf8_parts
+    from partwright.llm.ngram_join import _digests
+    from partwright.llm.shingles import shingle_sets
+    import pyarrow as pa
+
+    # Where two copies agree, the base agrees with both: it is in all buckets that they share.
+    rng = random.Random(12)
+    rows, led = [], 0
+    for k in range(24):
+        base = prose(rng, 150)
+        three = [" ".join(w) for w in (base, ["x", *base[1:]], [*base[:-1], "y"])]
+        grams, owner = shingle_sets(*utf8_parts(pa.array(three)), 5)
+        led += int(np.argmin(_digests(grams, owner, 3)[0])) == 0
+        rows += [(None, three[0]), (2 * k, three[1]), (2 * k + 1, three[2])]
+    assert led > 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join(df.repartition(3)).collect() if r.doc_id is not None}
+    assert got == {i: i - i % 2 for i in range(48)}
+    assert sorted(r.doc_id for r in near_distinct(df).collect() if r.doc_id is not None) == list(range(0, 48, 2))
+
+
 def test_pairs_within_the_threshold_share_a_signature():
     rng = np.random.default_rng(4)
     bounds = band_bounds(80)
