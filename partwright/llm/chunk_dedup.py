@@ -14,15 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partwright.llm.common import byte_slices, mix64, shuffle_partitions, utf8_parts, written
+from partwright.llm.common import byte_slices, mix64, utf8_parts, written
 
 MEAN_BYTES = 24
 MOST_BYTES = 128
 # Shorter than any passage of 50 words, longer than a repeated short line.
 MIN_BYTES = 100
 SLICE_BYTES = 4 << 20
-# Chunks met in one task, about: 16 bytes each.
-TASK_CHUNKS = 3_000_000
+# A digest in so many texts, and in more than one of ``HOT_DIGESTS`` of all copies, is joined by broadcast, so its copies
+# meet in no task; there are at most ``HOT_DIGESTS`` of them.
+HOT_COPIES = 10_000
+HOT_DIGESTS = 100_000
 
 # A fixed random value for each byte; the same on every machine.
 GEAR = np.random.Generator(np.random.PCG64(20240131)).integers(0, 1 << 16, 256, dtype=np.uint16)
@@ -66,65 +68,50 @@ def chunk_digests(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 
 
 def _chunks(texts: pa.Array, mean: int, most: int):
-    """Start, end, text and number within the text of every chunk, with the bytes."""
+    """Start, end and text of every chunk, with the bytes."""
     flat, offsets = utf8_parts(texts)
     ends = chunk_ends(flat, offsets, mean, most)
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     text = np.searchsorted(offsets, starts, side="right") - 1
-    number = np.arange(len(ends)) - np.searchsorted(text, text, side="left")
-    return flat, offsets, starts, ends, text, number
+    return flat, offsets, starts, ends, text
 
 
-def _emit(batches, tasks, mean, most):
+def _emit(batches, mean, most):
+    """The distinct digests of each text, and whether the text holds them more than once."""
     for batch in batches:
         for part in byte_slices(batch, "text", SLICE_BYTES):
-            flat, _, starts, ends, text, number = _chunks(part.column("text"), mean, most)
+            flat, _, starts, ends, text = _chunks(part.column("text"), mean, most)
             digest = chunk_digests(flat, starts, ends)
             keys = part.column("key").to_numpy()
-            task = (digest % np.uint64(tasks)).astype(np.uint16 if tasks <= 1 << 16 else np.uint32)
-            order = np.argsort(task, kind="stable")
-            digest, text, number, task = digest[order], text[order], number[order], task[order]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(task.astype(np.int64))) + 1, [len(task)]])
-            rows = {"task": [], "keys": [], "digest": [], "who": [], "number": []}
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if b > a:
-                    present, who = np.unique(text[a:b], return_inverse=True)
-                    rows["task"].append(int(task[a]))
-                    rows["keys"].append(keys[present].tobytes())
-                    rows["digest"].append(digest[a:b].tobytes())
-                    rows["who"].append(who.astype("<u4").tobytes())
-                    rows["number"].append(number[a:b].astype("<u4").tobytes())
-            if rows["task"]:
-                yield pa.record_batch(
-                    [pa.array(rows["task"], pa.int32()), *[pa.array(rows[c], pa.binary()) for c in list(rows)[1:]]],
-                    names=list(rows),
-                )
-
-
-def _copies(batches):
-    """The chunks that have copies: the text's key, their number and whether this copy stays."""
-    digest, key, number = [], [], []
-    for batch in batches:
-        for i in range(batch.num_rows):
-            who = np.frombuffer(batch.column("who")[i].as_py(), "<u4")
-            digest.append(np.frombuffer(batch.column("digest")[i].as_py(), np.uint64))
-            key.append(np.frombuffer(batch.column("keys")[i].as_py(), np.int64)[who])
-            number.append(np.frombuffer(batch.column("number")[i].as_py(), "<u4"))
-    if not digest:
-        return
-    digest, key, number = np.concatenate(digest), np.concatenate(key), np.concatenate(number).astype(np.int32)
-    order = np.lexsort((number, key, digest))
-    digest, key, number = digest[order], key[order], number[order]
-    fresh = np.ones(len(digest), bool)  # repeated rows show the same chunk of the same key again
-    fresh[1:] = (digest[1:] != digest[:-1]) | (key[1:] != key[:-1]) | (number[1:] != number[:-1])
-    digest, key, number = digest[fresh], key[fresh], number[fresh]
-    first = np.ones(len(digest), bool)
-    first[1:] = digest[1:] != digest[:-1]
-    alone = first & np.append(first[1:], True)
-    key, number, first = key[~alone], number[~alone], first[~alone]
-    for a in range(0, len(key), 100_000):
-        b = a + 100_000
-        yield pa.record_batch([pa.array(key[a:b]), pa.array(number[a:b]), pa.array(first[a:b])], names=["key", "number", "stays"])
+            order = np.lexsort((digest, text))
+            digest, text = digest[order], text[order]
+            first = np.ones(len(digest), bool)
+            first[1:] = (digest[1:] != digest[:-1]) | (text[1:] != text[:-1])
+            again = np.diff(np.append(np.flatnonzero(first), len(digest))) > 1
+            yield pa.record_batch(
+                [pa.array(digest[first].view(np.int64)), pa.array(keys[text[first]]), pa.array(again)],
+                names=["digest", "key", "again"],
+            )
+
+
+def copied_digests(chunks: DataFrame) -> DataFrame:
+    """(digest, key, stays) of the (text, digest) pairs ``chunks`` whose digest has copies; it stays in the text of the least key."""
+    found = chunks.groupBy("digest").agg(
+        F.min("key").alias("least"),
+        F.max("key").alias("greatest"),
+        F.max(F.col("again").cast("int")).alias("again"),
+        F.count(F.lit(1)).alias("texts"),
+    )
+    found = written(found.filter("least < greatest or again = 1").select("digest", "least", "texts"), "copied_digests")
+    total = found.agg(F.sum("texts")).first()[0] or 0
+    hot = F.col("texts") >= max(HOT_COPIES, -(-total // HOT_DIGESTS))
+    common = found.filter(hot).select("digest", "least")
+    rare = found.filter(~hot).select("digest", "least")
+    pairs, common = chunks.select("digest", "key"), F.broadcast(common)
+    met = pairs.join(common, "digest").unionByName(
+        pairs.join(common, "digest", "left_anti").hint("merge").join(rare, "digest")
+    )
+    return met.select("digest", "key", (F.col("key") == F.col("least")).alias("stays"))
 
 
 def _long_runs(marked: np.ndarray, text: np.ndarray, lengths: np.ndarray, least: int) -> np.ndarray:
@@ -140,14 +127,22 @@ def _long_runs(marked: np.ndarray, text: np.ndarray, lengths: np.ndarray, least:
 def _rewrite(batches, mean, most, min_bytes):
     for batch in batches:
         for part in byte_slices(batch, "text", SLICE_BYTES):
-            flat, offsets, starts, ends, text, number = _chunks(part.column("text"), mean, most)
+            flat, offsets, starts, ends, text = _chunks(part.column("text"), mean, most)
             copied, stays = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
             first = np.searchsorted(text, np.arange(part.num_rows + 1))
+            digest = chunk_digests(flat, starts, ends).view(np.int64)
             found = part.column("copies")
             for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)):
-                at = first[i] + found[int(i)].values.field("number").to_numpy()
-                copied[at] = True
-                stays[at] = found[int(i)].values.field("stays").to_numpy(zero_copy_only=False)
+                own = slice(first[i], first[i + 1])
+                known = found[int(i)].values
+                names, here = known.field("digest").to_numpy(), known.field("stays").to_numpy(zero_copy_only=False)
+                order = np.argsort(names)
+                names, here = names[order], here[order]
+                at = np.minimum(np.searchsorted(names, digest[own]), len(names) - 1)
+                copied[own] = names[at] == digest[own]
+                earliest = np.zeros(own.stop - own.start, bool)
+                earliest[np.unique(digest[own], return_index=True)[1]] = True
+                stays[own] = copied[own] & here[at] & earliest
             lengths = ends - starts
             repeated = _long_runs(copied, text, lengths, min_bytes)
             # A few chunks whose copy that stays lies elsewhere are no passage: they are left in place.
@@ -204,26 +199,17 @@ def chunk_dedup(
     are treated alike; null ids are an id.  Other columns are ignored; an empty table gives an
     empty result.
     """
-    spark = df.sparkSession
     raw, long = T.BinaryType(), T.LongType()
     docs = df.select(
         F.col(id_col).alias("id"),
         F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(text_col)).alias("key"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
-    total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    tasks = max(shuffle_partitions(spark), -(-total // (mean * TASK_CHUNKS)))
-    packed = docs.mapInArrow(
-        lambda batches: _emit(batches, tasks, mean, most),
-        _struct(task=T.IntegerType(), keys=raw, digest=raw, who=raw, number=raw),
-    )
-    copies = written(
-        packed.repartitionById(tasks, F.col("task")).mapInArrow(
-            _copies, _struct(key=long, number=T.IntegerType(), stays=T.BooleanType())
-        ),
-        "chunk_copies",
+    chunks = docs.mapInArrow(
+        lambda batches: _emit(batches, mean, most), _struct(digest=long, key=long, again=T.BooleanType())
     )
-    listed = copies.groupBy("key").agg(F.collect_list(F.struct("number", "stays")).alias("copies"))
+    # Rows alike in id and text show the same digests of the same key again.
+    listed = copied_digests(chunks).groupBy("key").agg(F.collect_set(F.struct("digest", "stays")).alias("copies"))
     span = T.ArrayType(_struct(start=long, end=long))
     return docs.join(listed, "key", "left").mapInArrow(
         lambda batches: _rewrite(batches, mean, most, min_bytes),

@@ -164,6 +164,33 @@ def test_chunk_dedup_finds_passages_and_spares_the_rest(spark):
     assert (by[1][0].n_removed > 0) != (by[None][0].n_removed > 0)
 
 
+def test_copies_of_a_common_chunk_meet_in_no_task(spark, monkeypatch):
+    import partwright.llm.chunk_dedup as module
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(module, "HOT_COPIES", 100)
+    chunks = spark.range(0, 6000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id").cast("int") % 3000 + 100).cast("long").alias("digest"),
+        F.col("id").alias("key"),
+        (F.col("id") == 5999).alias("again"),
+    )
+    found = module.copied_digests(chunks).withColumn("task", F.spark_partition_id()).collect()
+    held = collections.Counter(r.task for r in found if r.digest == 7)
+    assert sum(held.values()) == 2000 and max(held.values()) < 500
+    assert sorted((r.digest, r.key) for r in found) == sorted((r.digest, r.key) for r in chunks.collect())
+    assert [r.key for r in found if r.digest == 7 and r.stays] == [0]
+    assert sum(r.stays for r in found) == 2001
+    # the copies found are those of a comparison of all chunks, by broadcast or not
+    rng = random.Random(4)
+    notice = text(rng, 60)
+    rows = [(i, text(rng, 40) + notice * (1 + i % 2) + text(rng, 10)) for i in range(60)] + [(None, notice), (None, notice)]
+    rows += [rows[3], rows[3], (90, rows[4][1])]
+    some = [sorted(map(str, chunk_dedup(frame(spark, rows)).collect()))]
+    monkeypatch.setattr(module, "HOT_COPIES", 1 << 40)
+    some.append(sorted(map(str, chunk_dedup(frame(spark, rows)).collect())))
+    assert some[0] == some[1] and sum("n_removed=0" not in r for r in some[0]) > 50
+
+
 def test_chunks_resist_insertions():
     rng = np.random.default_rng(2)
     a = rng.integers(97, 123, 5000).astype(np.uint8)
