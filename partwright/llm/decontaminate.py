@@ -6,7 +6,7 @@ passage of every document is a query.  In each block the terms of small impact t
 stay far below the threshold together are set aside; the others bound the score of a
 passage from the block's maximal impacts, and only blocks whose bound reaches the
 threshold are scored.  Retrieved items are verified by the overlap of question and answer
-where they align.
+where the item aligns, or where each of them does.
 """
 
 from __future__ import annotations
@@ -134,8 +134,61 @@ def _spread(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum()), count
 
 
-def overlap(item: list[str], before: int, region: list[str]) -> tuple[float, float]:
-    """Shares of the question's and of the answer's words found where the item aligns in ``region``."""
+def reach(size: int) -> int:
+    """Words that may stand between question and answer of an item of ``size`` words."""
+    return 32 + size
+
+
+def _stretches(size: int) -> list[int]:
+    """Numbers of words over which ``size`` words in order may be spread."""
+    return sorted({size + 6, max(size + 6, 3 * size // 2), max(size + 6, 2 * size)})
+
+
+def _in_order(part: list[str], region: list[str], stretch: int) -> list[tuple[int, int, int]]:
+    """(start, end, words) of the most words of ``part`` in order in each ``stretch`` of ``region`` that starts with one."""
+    masks: dict[str, int] = {}
+    for i, word in enumerate(part):
+        masks[word] = masks.get(word, 0) | 1 << i
+    there = [masks.get(word, 0) for word in region]
+    full, out = (1 << len(part)) - 1, []
+    for start in np.flatnonzero([bool(m) for m in there]).tolist():
+        left, most, end = full, 0, start  # longest common subsequence, one bit for each word
+        for at in range(start, min(start + stretch, len(region))):
+            if there[at]:
+                same = left & there[at]
+                left = ((left + same) | (left - same)) & full
+                words = len(part) - left.bit_count()
+                if words > most:
+                    most, end = words, at + 1
+        out.append((start, end, most))
+    return out
+
+
+def _spread_overlap(item: list[str], before: int, region: list[str], rank) -> tuple[float, float]:
+    """The shares of question and answer where each aligns best by itself, the answer within reach after the question."""
+    question, answer = item[:before], item[before:]
+    best = (0.0, 0.0)
+    answers = [a for stretch in _stretches(len(answer)) for a in _in_order(answer, region, stretch)] if answer else []
+    for stretch in _stretches(len(question)):
+        for _, end, words in _in_order(question, region, stretch):
+            share = words / max(1, len(question))
+            after = max((n for at, _, n in answers if end <= at <= end + reach(len(item))), default=0)
+            best = max(best, (share, after / max(1, len(answer))), key=rank)
+    return best
+
+
+def overlap(
+    item: list[str], before: int, region: list[str], min_question: float = MIN_QUESTION, min_answer: float = MIN_ANSWER
+) -> tuple[float, float]:
+    """Shares of the question's and of the answer's words found where the item aligns in ``region``.
+
+    Either the whole item aligns at one shift, up to 3 words, or question and answer each stand in order by
+    themselves, with other words in between (see ``_stretches`` and ``reach``).
+    """
+
+    def rank(found):
+        return min(found[0] / max(min_question, 1e-9), found[1] / max(min_answer, 1e-9)), sum(found)
+
     size = min(3, len(item))
     places: dict[tuple, list[int]] = {}
     for i in range(len(region) - size + 1):
@@ -143,17 +196,21 @@ def overlap(item: list[str], before: int, region: list[str]) -> tuple[float, flo
     shifts = Counter(
         at - i for i in range(len(item) - size + 1) for at in places.get(tuple(item[i : i + size]), ())
     )
-    if not shifts:
-        return 0.0, 0.0
     best, slack = (0.0, 0.0), 3
-    for shift, _ in sorted(shifts.items(), key=lambda s: (-s[1], s[0]))[:3]:  # an edit moves what follows it
+    for shift in sorted(shifts):
         found = []
         for a, b in ((0, before), (before, len(item))):
             there = Counter(region[max(0, shift + a - slack) : max(0, shift + b + slack)])
             part = Counter(item[a:b])
             found.append(sum((part & there).values()) / max(1, b - a))
-        best = max(best, tuple(found), key=lambda f: (min(f), sum(f)))
-    return best
+        best = max(best, tuple(found), key=rank)
+    if best[0] >= min_question and best[1] >= min_answer:
+        return best
+    present = Counter(region)
+    for part, least in ((item[:before], min_question), (item[before:], min_answer)):
+        if sum((Counter(part) & present).values()) < least * len(part):
+            return best
+    return max(best, _spread_overlap(item, before, region, rank), key=rank)
 
 
 def _search(batches, index: BlockMaxIndex, min_question: float, min_answer: float, names: list[str]):
@@ -186,8 +243,9 @@ def _search(batches, index: BlockMaxIndex, min_question: float, min_answer: floa
                 row, a = int(d[q]), int(start[q])
                 item = int(index.unit_item[blocks[q] * BLOCK_UNITS + unit])
                 _, words, before = index.items[item]
-                region = texts[row][max(0, a - len(words)) : a + PASSAGE_WORDS + len(words)]
-                question, answer = overlap(words, before, region)
+                around = 2 * len(words) + 6 + reach(len(words))
+                region = texts[row][max(0, a - around) : a + PASSAGE_WORDS + around]
+                question, answer = overlap(words, before, region, min_question, min_answer)
                 if question >= min_question and answer >= min_answer:
                     hit = (float(scores[q, unit]), question, answer, a)
                     if (row, item) not in hits or hit > hits[row, item]:
@@ -231,8 +289,10 @@ def contaminated(
     Words are runs of letters and digits, lower-cased.  A document's passages are windows of
     ``PASSAGE_WORDS`` words at every half window, over its whole text.  An item is retrieved if one of its units
     scores ``min_score`` of its own score against itself, and reported if ``min_question`` and
-    ``min_answer`` of the words of its question and answer stand where it aligns; score and
-    passage (first word's number) are of its best passage.  The answer is the item's
+    ``min_answer`` of the words of its question and answer stand where it aligns.  Question and
+    answer may also stand apart, the answer up to 32 words and the item's length behind the question,
+    and each of them in order with other words in between, over twice its length (and 6 words
+    more than its length at least).  Score and passage (first word's number) are of its best passage.  The answer is the item's
     last sentence.  Null and empty texts and items match nothing.  Repeated rows are
     reported each; items with one text are reported each.  Other columns are ignored; an empty
     table of documents or items gives an empty result.

@@ -184,6 +184,32 @@ def test_passages_are_found_wherever_they_stand():
     assert found == {(d, d % 20) for d in range(len(docs))}
 
 
+def test_items_are_found_with_other_words_inside(spark):
+    rng = random.Random(5)
+    say = lambda n: " ".join(f"t{rng.randrange(4000)}" for _ in range(n))
+    parts = [(say(n), say(m)) for n, m in [(12, 4), (20, 10), (20, 4), (90, 12), (150, 20)] for _ in range(4)]
+    bench = spark.createDataFrame([(k, f"{q}. {a}.") for k, (q, a) in enumerate(parts)], "item_id long, text string")
+
+    def cut(words, pieces):
+        words = words.split()
+        return [" ".join(words[k * len(words) // pieces : (k + 1) * len(words) // pieces]) for k in range(pieces)]
+
+    docs, want = [], set()
+    for k, (q, a) in enumerate(parts):
+        for gap in (0, 5, 10, 25, 40):
+            want.add((len(docs), k))
+            docs.append((len(docs), f"{say(50)} {q} {say(gap)} {a} {say(60)}"))
+        if len(q.split()) > 32:
+            for pieces in (3, 5):
+                want.add((len(docs), k))
+                docs.append((len(docs), f"{say(40)} {f' {say(8)} '.join(cut(q, pieces))} {say(8)} {a} {say(40)}"))
+        # no leaks: the question alone, the answer too far behind or before it
+        for text in (q, f"{q} {say(400)} {a}", f"{a} {say(400)} {q}"):
+            docs.append((len(docs), f"{say(50)} {text} {say(50)}"))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(df, bench).collect()} == want
+
+
 def test_url_rules_and_model(spark):
     rows = [
         (1, "http://Example.COM/en/1"), (2, "https://www.example.com/en/2?x=/es/"), (3, "http://a.www.example.com/en/"),
