@@ -142,10 +142,10 @@ def block_vectors(blocks: list[tuple[str, tuple, int]]) -> np.ndarray:
     out = np.zeros((len(blocks), PATH_DIMS + WORD_DIMS + MEASURES), np.float32)
     for i, (text, path, linked) in enumerate(blocks):
         out[i, _path_buckets(path)] = 1.0
-        words = _WORDS.findall(text[:2000].lower())
+        words = _WORDS.findall(text.lower())
         if words:
-            counts = np.bincount([_word_bucket(w) for w in words[:60]], minlength=WORD_DIMS)
-            out[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = np.sqrt(counts / len(words[:60]))
+            counts = np.bincount([_word_bucket(w) for w in words], minlength=WORD_DIMS)
+            out[i, PATH_DIMS : PATH_DIMS + WORD_DIMS] = np.sqrt(counts / len(words))
         size = len(text)
         out[i, PATH_DIMS + WORD_DIMS :] = (
             np.log1p(size) / 8,

@@ -375,6 +375,18 @@ def test_network_labels_unseen_layouts_and_its_gradients_hold():
             assert (up - down) / 2e-6 == pytest.approx(grad[at], rel=1e-4, abs=1e-6)
 
 
+def test_block_vectors_read_whole_blocks():
+    start = " ".join(f"word{k}" for k in range(400))
+    one, two = start + " more" * 9000, start + " share" * 9000
+    a, b = H.block_vectors([(one, ("t:p",), 0), (two, ("t:p",), 0)])
+    words = slice(H.PATH_DIMS, H.PATH_DIMS + H.WORD_DIMS)
+    assert not np.array_equal(a[words], b[words])
+    for text, v in ((one, a), (two, b)):
+        buckets = np.bincount([H._word_bucket(w) for w in text.split()], minlength=H.WORD_DIMS)
+        assert np.allclose(v[words] ** 2, buckets / 9400, atol=1e-6)
+        assert v[words.stop + 1] == pytest.approx(np.log1p(9400) / 6)
+
+
 def test_main_text_of_pages(spark):
     import html
     import re
