@@ -108,6 +108,7 @@ def _index_shards(batches, names):
                 pa.array([table.sizes.tolist()], pa.list_(pa.int64())),
                 pa.array([np.packbits(table.bits).tobytes()], pa.binary()),
                 pa.array([h[rest].tobytes()], pa.binary()),
+                pa.array([h[order].tobytes()], pa.binary()),
                 pa.array([f[order].tobytes()], pa.binary()),
                 pa.array([rows.column("docs").to_numpy()[order].astype("<i4").tobytes()], pa.binary()),
                 pa.ListArray.from_arrays(
@@ -139,6 +140,7 @@ class _Shard:
         bits = np.unpackbits(np.frombuffer(row["bits"].as_py(), np.uint8))[: int(sizes.sum())].astype(bool)
         self.table = PerfectHash(sizes, bits)
         self.more = np.frombuffer(row["more"].as_py(), "<i8")
+        self.keys = np.frombuffer(row["keys"].as_py(), "<i8")
         self.prints = np.frombuffer(row["prints"].as_py(), "<i4")
         self.counts = np.frombuffer(row["counts"].as_py(), "<i4")
         self.owners = row["owners"].values
@@ -146,7 +148,7 @@ class _Shard:
     def probe(self, h: np.ndarray, f: np.ndarray, ids: pa.Array, min_docs: int) -> np.ndarray:
         """Positions of probes whose line is frequent and kept by another document."""
         slots = self.table.slots(h)
-        slots[(slots >= 0) & (self.prints[slots] != f)] = -1
+        slots[(slots >= 0) & ((self.keys[slots] != h) | (self.prints[slots] != f))] = -1
         base = len(self.prints) - len(self.more)
         for k, other in enumerate(self.more):
             slots[(h == other) & (self.prints[base + k] == f)] = base + k
@@ -203,12 +205,12 @@ def line_dedup(
     )
     shards = max(shuffle_partitions(spark), -(-frequent.count() // SHARD_KEYS))
 
-    names = ["shard", "sizes", "bits", "more", "prints", "counts", "owners"]
+    names = ["shard", "sizes", "bits", "more", "keys", "prints", "counts", "owners"]
     index_schema = T.StructType(
         [
             T.StructField("shard", T.IntegerType()),
             T.StructField("sizes", T.ArrayType(T.LongType())),
-            *[T.StructField(c, T.BinaryType()) for c in names[2:6]],
+            *[T.StructField(c, T.BinaryType()) for c in names[2:7]],
             T.StructField("owners", T.ArrayType(id_type)),
         ]
     )

@@ -136,6 +136,24 @@ def test_perfect_hash_is_minimal_and_perfect():
     assert len(table.bits) < 5 * len(keys)
 
 
+def test_probes_compare_the_whole_line_hash():
+    from partwright.llm.line_dedup import _index_shards, _Shard
+    import pyarrow as pa
+    import pyarrow.compute  # noqa: F401
+
+    rng = np.random.default_rng(3)
+    h = np.unique(rng.integers(0, 1 << 62, 5000))
+    f = np.full(len(h), 5, np.int32)
+    columns = [pa.array(np.zeros(len(h), np.int32)), pa.array(h), pa.array(f), pa.array(np.full(len(h), 9, np.int32)), pa.array(h * 0 + 1)]
+    names = ["shard", "sizes", "bits", "more", "keys", "prints", "counts", "owners"]
+    (out,) = _index_shards([pa.record_batch(columns, names=["shard", "h", "f", "docs", "owner"])], names)
+    shard = _Shard({c: out.column(c)[0] for c in out.schema.names})
+    ids = pa.array(np.zeros(len(h), np.int64))
+    assert len(shard.probe(h, f, ids, 3)) == len(h)
+    # other lines with the same fingerprint
+    assert len(shard.probe(np.setdiff1d(rng.integers(0, 1 << 62, 5000), h)[:4000], f[:4000], ids[:4000], 3)) == 0
+
+
 def test_chunk_dedup_finds_passages_and_spares_the_rest(spark):
     rng = random.Random(11)
     alphabet = "abcdefghijklmnopqrstuvwxyz"
