@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from partwright.llm.common import read_table
 from partwright.llm.chunk_dedup import chunk_dedup
+from partwright.llm.conversation_trie import BLOCK, MOST_BORROWED, conversation_trie
 from partwright.llm.decontaminate import contaminated
 from partwright.llm.exact_dedup import exact_dedup
 from partwright.llm.html_extract import main_text
 from partwright.llm.line_dedup import line_dedup
 from partwright.llm.mixing import plan_mix
 from partwright.llm.ngram_join import ngram_join
+from partwright.llm.periodic_runs import detect_periodic_runs
 from partwright.llm.quality import fit_quality, score_quality
+from partwright.llm.quality_rules import STOP_WORDS, SYMBOLS, quality_rules
 from partwright.llm.suffix_dedup import suffix_dedup
 from partwright.llm.url_filter import url_filter
 
@@ -68,6 +71,24 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = detect_periodic_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"), plant_by="doc_id")
+    return runs.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256")
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -79,8 +100,12 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_html_extract": op9_html_extract,
     "op10_chunk_dedup": op10_chunk_dedup,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+_STOP_WORDS = ", ".join(f"'{w}', '{w.capitalize()}'" for w in STOP_WORDS)
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE = {
@@ -132,4 +157,50 @@ SELECT doc_id, size, source_size, target,
        (greatest(0, least(size, demand - ahead)) + greatest(0, least(size, demand - source_size - ahead))
         + greatest(0, least(size, demand - 2 * source_size - ahead)))::BIGINT AS taken
 FROM p""",
+    "op11_quality_rules": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+           FROM documents),
+     w AS (SELECT r, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+     x AS (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY r, a, b, c) > 1),
+     y AS (SELECT r, least(3, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 3)) AS n FROM x),
+     z AS (SELECT r, sum(n)::BIGINT AS n FROM y GROUP BY r),
+     c AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda v: length(v))), 0)::BIGINT AS word_chars,
+                  len(regexp_extract_all(text, '{SYMBOLS}'))::BIGINT AS n_symbols, len(regexp_extract_all(text, '!+')) AS n_shouts,
+                  len(ls) AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(z.n, 0)::BIGINT AS n_repeat_words,
+                  len(list_filter(ws, lambda v: v IN ({_STOP_WORDS}))) AS n_stop_words
+           FROM d LEFT JOIN z USING (r)),
+     e AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 1000 * word_chars BETWEEN 2000 * n_words AND 14000 * n_words AND 1000 * n_symbols <= 100 * n_words
+       AND 1000 * n_stop_words >= 60 * n_words AND 1000 * n_dup_lines <= 400 * n_lines AND 1000 * n_shouts <= 100 * n_words AS kept
+FROM e""",
+    "op12_conversation_trie": rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                                     sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+     c AS (SELECT conv_id, conv_id - conv_id % {BLOCK} AS head, count(*) AS n,
+                  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda v: ord(v)::BIGINT)),
+                        lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                                 lambda y, z: xor(y >> 1, (y & 1) * 3988292384))), 4294967295) % {MOST_BORROWED + 1} AS h
+           FROM t GROUP BY conv_id),
+     s AS (SELECT c.conv_id, t.pos AS i, role, text FROM c JOIN t ON t.conv_id = c.head AND t.pos < h
+           UNION ALL
+           SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(o.n, 0)), role, text
+           FROM c JOIN t ON t.conv_id = c.conv_id LEFT JOIN c o ON o.conv_id = c.head WHERE t.pos >= c.h),
+     m AS (SELECT c.conv_id, count(s.i) AS n FROM c LEFT JOIN s ON s.conv_id = c.conv_id GROUP BY c.conv_id),
+     p AS (SELECT conv_id, i + 1 AS depth, list({{'r': role, 't': text}}) OVER (PARTITION BY conv_id ORDER BY i) AS key,
+                  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM s
+           UNION ALL SELECT conv_id, 0, CAST([] AS STRUCT(r VARCHAR, t VARCHAR)[]), 0 FROM c),
+     v AS (SELECT key, any_value(depth) AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+                  sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE m.n = p.depth), '')) AS ends_sha256
+           FROM p JOIN m ON m.conv_id = p.conv_id GROUP BY key),
+     k AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY 1),
+     u AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN k ON k.key = v.key),
+     a AS (SELECT key[1:d] AS key, count_if(n_children = 0)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+           FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM u) GROUP BY 1)
+SELECT u.conv_id, u.depth, o.conv_id AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens, u.ends_sha256
+FROM u JOIN a ON a.key = u.key LEFT JOIN v o ON u.depth > 0 AND o.key = u.key[1:u.depth - 1]""",
 }
