@@ -20,7 +20,12 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from partwright.operators.export import export_partitioned, export_single_partition  # noqa: E402
+from partwright.operators.commit import recover  # noqa: E402
+from partwright.operators.export import (  # noqa: E402
+    export_partitioned,
+    export_single_partition,
+    prepare_export,
+)
 from partwright.operators.metrics import (  # noqa: E402
     generation_metrics,
     not_null_contract,
@@ -206,6 +211,86 @@ def q_replace_date_empty(spark, sf_dir):
     return _read_back(spark, path, keys=("extract_date",))
 
 
+# Steps of a replacement at which a run is stopped, what the next run does then, and whether the new rows stand.
+CRASHES = (
+    ("staged", "discarded", False),
+    ("prepared", "discarded", False),
+    ("committed", "rolled forward", True),
+    (f"moved aside extract_date={DAY}", "rolled forward", True),
+    (f"exchanged extract_date={DAY}", "rolled forward", True),
+    ("exchanged", "rolled forward", True),
+    ("finished", "discarded", True),
+)
+
+
+class _Killed(BaseException):
+    """Stops a run as a kill would: nothing is cleaned up."""
+
+
+def q_replace_after_crash(spark, sf_dir):
+    """A replacement stopped after each of its steps, the next run's recovery, and what is read then.
+
+    Each attempt adds its number to the amounts of the date, so old and new rows can be told apart.
+    """
+    path = _date_table(spark, sf_dir, "replace_after_crash")
+    day, found = _day(spark, sf_dir), []
+    for k, (crash, _, _) in enumerate(CRASHES, 1):
+
+        def stop(step, crash=crash):
+            if step == crash:
+                raise _Killed
+
+        rows = day.withColumn("total_amt", (F.col("total_amt") + k).cast("decimal(18,2)"))
+        try:
+            replace_date(rows, path, DAY, on_step=stop)
+        except _Killed:
+            pass
+        did = recover(spark, path)
+        today = F.col("extract_date") == F.lit(DAY).cast("date")
+        read = _read_back(spark, path, keys=("extract_date",)).agg(
+            F.count_if(today).alias("day_rows"),
+            F.sum(F.when(today, F.col("total_amt"))).cast("decimal(38,2)").alias("day_total"),
+            F.count_if(~today).alias("other_rows"),
+        )
+        found.append((k, crash, did, *read.first()))
+    return spark.createDataFrame(found, "attempt long, step string, recovery string, day_rows long, day_total decimal(38,2), other_rows long")
+
+
+# Zipf-like keys: value v of 1 .. ZIPF_KEYS stands in about 1 / (v * (v + 1)) of the rows.
+ZIPF_KEYS = 2000
+ZIPF_FILES = 200
+
+
+def q_balanced_placement(spark, sf_dir):
+    """An export by Zipf-like keys: rows, tuples, split tuples, and whether tasks are even.
+
+    No task of unsplit tuples has more than 1.5 times their mean, no task of a split one more than the bound.
+    """
+    lineitem = table(spark, sf_dir, "lineitem")
+    keyed = lineitem.withColumn("zipf", F.floor(F.lit(ZIPF_KEYS) / (1 + F.col("l_partkey") * 7919 % ZIPF_KEYS)))
+    bound = max(1, lineitem.count() // ZIPF_FILES)
+    prep = prepare_export(keyed, keys=("zipf",), max_rows_per_file=bound, file_cost_rows=0)
+    rows = prep.frame.groupBy("zipf", F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    per_tuple = rows.groupBy("zipf").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("tasks"))
+    split = F.col("n_rows") > bound
+    summary = per_tuple.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.count(F.lit(1)).alias("tuples"),
+        F.count_if(split).alias("split_tuples"),
+        F.bool_and(F.when(split, F.col("tasks") > 1).otherwise(F.col("tasks") == 1)).alias("whole"),
+    )
+    tasks = rows.join(per_tuple.select("zipf", split.alias("split")), "zipf").groupBy("task", "split").agg(F.sum("n").alias("n"))
+    even = tasks.agg(
+        (F.max(F.when(~F.col("split"), F.col("n"))) <= 1.5 * F.avg(F.when(~F.col("split"), F.col("n")))).alias("even"),
+        (F.max(F.when(F.col("split"), F.col("n"))) <= bound).alias("bounded"),
+    )
+    found = summary.crossJoin(even).collect()  # one row
+    prep.release()
+    return spark.createDataFrame(
+        found, "n_rows long, tuples long, split_tuples long, whole boolean, even boolean, bounded boolean"
+    )
+
+
 def q_export_single_partition(spark, sf_dir):
     root = scratch_path(spark, "single_partition")
     target = export_single_partition(_day(spark, sf_dir), root, ONE_PARTITION)
@@ -425,6 +510,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_report_scale9": q_run_report_scale9,
     "export_split_hot_keys": q_export_split_hot_keys,
     "hot_split_bounds": q_hot_split_bounds,
+    "replace_after_crash": q_replace_after_crash,
+    "balanced_placement": q_balanced_placement,
 }
 
 
@@ -548,6 +635,22 @@ FROM k""",
     "hot_split_bounds": f"""SELECT l_returnflag, l_linestatus, COUNT(*)::BIGINT AS n_rows,
        COUNT(*) > (SELECT COUNT(*) // {HOT_FILES} FROM lineitem) AS split, 0::BIGINT AS files_over_bound
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+    "replace_after_crash": _S
+    + f""", c AS (SELECT * FROM (VALUES {', '.join(f"({k}, '{c}', '{r}', {new})" for k, (c, r, new) in enumerate(CRASHES, 1))})
+              t(attempt, step, recovery, is_new)),
+     a AS (SELECT *, max(CASE WHEN is_new THEN attempt ELSE 0 END) OVER (ORDER BY attempt) AS content FROM c)
+SELECT attempt::BIGINT AS attempt, step, recovery,
+       (SELECT COUNT(*) FROM s WHERE extract_date = {_D})::BIGINT AS day_rows,
+       ((SELECT SUM(total_amt) FROM s WHERE extract_date = {_D})
+        + content * (SELECT COUNT(*) FROM s WHERE extract_date = {_D}))::DECIMAL(38,2) AS day_total,
+       (SELECT COUNT(*) FROM s WHERE extract_date <> {_D})::BIGINT AS other_rows
+FROM a""",
+    "balanced_placement": f"""
+WITH z AS (SELECT floor({ZIPF_KEYS} / (1 + l_partkey * 7919 % {ZIPF_KEYS})) AS zipf, COUNT(*) AS n FROM lineitem GROUP BY 1)
+SELECT SUM(n)::BIGINT AS n_rows, COUNT(*)::BIGINT AS tuples,
+       count_if(n > (SELECT COUNT(*) // {ZIPF_FILES} FROM lineitem))::BIGINT AS split_tuples,
+       true AS whole, true AS even, true AS bounded
+FROM z""",
     "reconcile": _S
     + f""", a AS (SELECT {_SRC_METRICS} FROM s WHERE extract_date = {_D}),
      b AS (SELECT {_EXP_METRICS} FROM s WHERE extract_date = {_D})

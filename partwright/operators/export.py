@@ -15,8 +15,10 @@ Layout strategies (``strategy=``):
     numbered slots, one task and file each, and their rows are dealt over the
     slots in turn, so a key holding a third of the table, exact copies
     included, becomes many bounded tasks and files.  All other tuples keep
-    exactly one file.  Rows are dealt in the order of a hash of their content,
-    so a retried task deals them alike.  The writer cuts files at the bound.
+    exactly one file.  A retried task deals its rows alike: over a plain file scan
+    by their number in the task, else in the order of a hash of their content.  The
+    writer cuts files at the bound.  The other tuples are packed onto tasks by their
+    counted rows (:func:`placement`), so that no task gets much more than its share.
 ``"hash"``
     The reference's plan, ``repartition(n, *keys)``: strictly one file per
     tuple, no pre-pass, but a hot tuple is one task.
@@ -32,7 +34,7 @@ Layout strategies (``strategy=``):
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 from dataclasses import dataclass, field
 
@@ -43,6 +45,7 @@ from pyspark.sql import types as T
 from ..functions.keys import partition_subpath
 from ..schema import KEYS
 from ..session import to_local
+from .commit import Replacement
 from .metrics import exact_total
 
 OVERWRITE_MODES = {"all": "static", "partitions": "dynamic"}
@@ -55,6 +58,15 @@ HOT_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_JOIN_COPIES = 64
 # Slots of a hot tuple are filled to about this share, so that uneven dealing stays below the bound.
 SLOT_FILL = 0.95
+# Rows dealt by a hash of their number vary by the square root of a slot's rows: room for so many deviations.
+SLOT_DEVIATIONS = 5
+# Opening and closing a file weighs as much as writing about so many rows.
+FILE_COST_ROWS = 1000
+# The table of all tuples and their tasks is broadcast up to this many bytes of key text; beyond, tuples
+# that are not hot go by a hash of their keys.
+PLACEMENT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Tuples of one weight class are added up in so many bins before the bins are added up.
+PLACEMENT_BINS = 256
 
 _SLOTS = "__pw_slots"
 _BASE = "__pw_base"
@@ -62,6 +74,7 @@ _COPY = "__pw_copy"
 _ORDER = "__pw_order"
 _TASK = "__pw_task"
 _N = "__pw_n"
+_ROW = "__pw_row"
 
 
 @dataclass
@@ -83,9 +96,65 @@ def default_max_rows_per_file(df: DataFrame, target_file_bytes: int = DEFAULT_TA
     return max(1, target_file_bytes // max(1, df._jdf.schema().defaultSize()))
 
 
-def slots_of(rows: Column, max_rows: int) -> Column:
-    """Files that a tuple of ``rows`` rows is split into: one up to the bound."""
-    return F.when(rows <= max_rows, F.lit(1)).otherwise(F.ceil(rows / F.lit(max_rows * SLOT_FILL))).cast("long")
+def slots_of(rows: Column, max_rows: int, by_number: bool = False) -> Column:
+    """Files that a tuple of ``rows`` rows is split into: one up to the bound.
+
+    ``by_number``: rows are dealt by a hash of their number, which takes more room than dealing in turn.
+    """
+    filled = max_rows * SLOT_FILL
+    if by_number:
+        filled = max(1.0, max_rows / 2, min(filled, max_rows - SLOT_DEVIATIONS * math.sqrt(max_rows)))
+    return F.when(rows <= max_rows, F.lit(1)).otherwise(F.ceil(rows / F.lit(filled))).cast("long")
+
+
+def keeps_row_order(df: DataFrame) -> bool:
+    """Whether a task of ``df``, run again, gets its rows in the same order: a file scan with filters and projections."""
+    plan = df._jdf.queryExecution().sparkPlan()
+    while True:
+        name = plan.getClass().getSimpleName()
+        if name == "FileSourceScanExec":
+            return True
+        if name not in ("ProjectExec", "FilterExec", "CollectMetricsExec") or plan.children().size() != 1:
+            return False
+        plan = plan.children().apply(0)
+
+
+def placement(counts: DataFrame, keys: Sequence[str], weight: Column, tasks: int) -> tuple[DataFrame, int]:
+    """``keys`` and a task number for every tuple of ``counts``, and the number of tasks.
+
+    A task's share is the total weight over ``tasks``.  A tuple of more than half a share
+    gets a task of its own, so there are at most twice ``tasks`` of those.  The others are laid end
+    to end, heavy ones first, and cut into shares by their midpoints: a task gets at
+    most a share and half a tuple on either side, hence 1.5 shares.  Offsets are sums
+    of bins (weight class, hash), then of the tuples within a bin; no task sorts all tuples.
+    """
+    weighed = counts.select(*keys, weight.cast("double").alias("w"))
+    total = weighed.agg(F.sum("w")).first()[0]
+    if not total:
+        return weighed.select(*keys, F.lit(0).cast("long").alias(_TASK)), 1
+    share = total / tasks
+    light = weighed.filter(F.col("w") <= share / 2)
+    row = weighed.agg(
+        F.count_if(F.col("w") > share / 2).alias("own"), F.coalesce(F.sum(F.when(F.col("w") <= share / 2, F.col("w"))), F.lit(0.0)).alias("light")
+    ).first()
+    shared = math.ceil(row["light"] / share) if row["light"] else 0
+    heavy = weighed.filter(F.col("w") > share / 2).withColumn(
+        _TASK, shared + F.row_number().over(Window.orderBy(F.col("w").desc(), *keys)) - 1
+    )
+    named = light.withColumns(
+        {"class": -F.floor(F.log2("w")), "bin": F.pmod(F.xxhash64(*keys), F.lit(PLACEMENT_BINS))}
+    )
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    bins = named.groupBy("class", "bin").agg(F.sum("w").alias("bin_w"))
+    offsets = bins.select(
+        "class", "bin", F.coalesce(F.sum("bin_w").over(before.orderBy("class", "bin")), F.lit(0.0)).alias("offset")
+    )
+    within = Window.partitionBy("class", "bin").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("offset") + F.coalesce(F.sum("w").over(within), F.lit(0.0)) + F.col("w") / 2
+    cut = F.floor(at * shared / F.lit(row["light"] or 1.0))
+    packed = named.join(F.broadcast(offsets), ["class", "bin"]).withColumn(_TASK, F.least(cut, F.lit(shared - 1)))
+    placed = packed.select(*keys, F.col(_TASK).cast("long")).unionByName(heavy.select(*keys, F.col(_TASK).cast("long")))
+    return placed, shared + row["own"]
 
 
 def _normalise(path: str) -> str:
@@ -194,9 +263,14 @@ def prepare_export(
     observe_sum: str | None = None,
     require: Column | None = None,
     hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
+    placement_broadcast_bytes: int = PLACEMENT_BROADCAST_BYTES,
+    file_cost_rows: int = FILE_COST_ROWS,
 ) -> PreparedExport:
     """Plan the export: the returned ``frame`` is what the writer consumes.
 
+    With ``num_partitions`` the tuples go to that many tasks by a hash of their keys, else
+    they are packed onto tasks by their rows and ``file_cost_rows`` a file.
+
     For ``strategy="split"`` this runs the one planning job (per-tuple row
     counts over the key columns only) and keeps that small result cached
     until :meth:`PreparedExport.release`.  ``frame.explain()`` shows the
@@ -253,18 +327,21 @@ def prepare_export(
         return PreparedExport(out, result, observation)
 
     thr = max_rows_per_file or default_max_rows_per_file(df)
+    stable = keeps_row_order(df)
     # One row per key tuple; partial aggregation runs before the shuffle.
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N)).persist()
     is_hot = F.col(_N) > thr
-    text = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+    slots = slots_of(F.col(_N), thr, by_number=stable)
+    text = F.octet_length(F.concat_ws("/", *[F.col(k).cast("string") for k in keys])) + 64
     try:
         stats = counts.agg(
             F.coalesce(F.sum(_N), F.lit(0)).alias("rows"),
             F.count(F.lit(1)).alias("tuples"),
             F.count_if(is_hot).alias("hot"),
             F.coalesce(F.sum(F.when(is_hot, F.col(_N))), F.lit(0)).alias("hot_rows"),
-            F.coalesce(F.sum(F.when(is_hot, slots_of(F.col(_N), thr))), F.lit(0)).alias("slots"),
-            F.coalesce(F.sum(F.when(is_hot, F.octet_length(text) + 64)), F.lit(0)).alias("hot_bytes"),
+            F.coalesce(F.sum(F.when(is_hot, slots)), F.lit(0)).alias("slots"),
+            F.coalesce(F.sum(F.when(is_hot, text)), F.lit(0)).alias("hot_bytes"),
+            F.coalesce(F.sum(text), F.lit(0)).alias("bytes"),
             F.coalesce(F.sum(F.when(_null_or_empty(counts, keys), F.col(_N))), F.lit(0)).alias("bad"),
             F.coalesce(
                 F.sum(F.when(~F.coalesce(require, F.lit(False)), F.col(_N))) if require is not None else F.lit(0),
@@ -275,18 +352,21 @@ def prepare_export(
             raise ValueError(f"{stats['bad']} rows have a NULL or empty partition key {keys}")
         if stats["failing"]:
             raise ValueError(f"{stats['failing']} rows fail the required condition")
+        # Enough tasks to keep every core busy on a file-count-bound write, and
+        # about one task per max_rows_per_file rows on a large one.
+        cold, cold_rows = stats["tuples"] - stats["hot"], stats["rows"] - stats["hot_rows"]
+        n = num_partitions or max(1, min(cold, max(2 * parallelism, math.ceil(cold_rows / thr))))
+        packed = None
+        if num_partitions is None and cold > 1 and n > 1 and stats["bytes"] <= placement_broadcast_bytes:
+            packed, n = placement(counts.filter(~is_hot), keys, F.col(_N) + file_cost_rows, n)
     except Exception:
         counts.unpersist()
         raise
     result.max_rows_per_file = thr
     result.rows, result.tuples, result.hot_tuples = stats["rows"], stats["tuples"], stats["hot"]
-    # Enough tasks to keep every core busy on a file-count-bound write, and
-    # about one task per max_rows_per_file rows on a large one.
-    cold, cold_rows = stats["tuples"] - stats["hot"], stats["rows"] - stats["hot_rows"]
-    n = num_partitions or max(1, min(cold, max(2 * parallelism, math.ceil(cold_rows / thr))))
     result.num_tasks = n + stats["slots"]
     cached = None
-    if not stats["hot"]:
+    if not stats["hot"] and packed is None:
         counts.unpersist()
         out = body.repartition(n, *keys)
     else:
@@ -295,25 +375,32 @@ def prepare_export(
         before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
         hot = (
             counts.filter(is_hot)
-            .withColumn(_SLOTS, slots_of(F.col(_N), thr))
+            .withColumn(_SLOTS, slots)
             .select(*keys, _SLOTS, F.coalesce(F.sum(_SLOTS).over(before), F.lit(0)).alias(_BASE))
         )
-        if stats["hot_bytes"] <= hot_broadcast_bytes:
-            joined = body.join(F.broadcast(hot), on=list(keys), how="left")
+        known = hot if packed is None else hot.unionByName(packed, allowMissingColumns=True)
+        if stable:
+            # The number of a row in its scan task, taken before any join.
+            body = body.withColumn(_ROW, F.monotonically_increasing_id())
+        if packed is not None or stats["hot_bytes"] <= hot_broadcast_bytes:
+            joined = body.join(F.broadcast(known), on=list(keys), how="left")
         else:
-            copies = hot.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.lit(HOT_JOIN_COPIES - 1))))
+            copies = known.withColumn(_COPY, F.explode(F.sequence(F.lit(0), F.lit(HOT_JOIN_COPIES - 1))))
             copy = F.pmod(F.xxhash64(*_hashable(df), F.spark_partition_id()), F.lit(HOT_JOIN_COPIES)).cast("int")
             joined = body.withColumn(_COPY, copy).join(copies.hint("shuffle_hash"), on=[*keys, _COPY], how="left")
-        content = F.when(F.col(_BASE).isNotNull(), F.xxhash64(*_hashable(df)))
-        # Rows of a hot tuple stand together in each input task and are dealt over its slots in turn.
-        turn = F.pmod(F.monotonically_increasing_id(), F.col(_SLOTS))
-        task = F.when(F.col(_BASE).isNotNull(), F.lit(n) + F.col(_BASE) + turn).otherwise(
-            F.pmod(F.xxhash64(*keys), F.lit(n))
-        )
+        if stable:
+            turn = F.pmod(F.xxhash64(_ROW), F.col(_SLOTS))
+        else:
+            # Rows of a hot tuple stand together in each input task and are dealt over its slots in turn.
+            turn = F.pmod(F.monotonically_increasing_id(), F.col(_SLOTS))
+            if stats["hot"]:
+                content = F.when(F.col(_BASE).isNotNull(), F.xxhash64(*_hashable(df)))
+                joined = joined.withColumn(_ORDER, content).sortWithinPartitions(_BASE, _ORDER)
+        by_hash = F.pmod(F.xxhash64(*keys), F.lit(n))
+        cold_task = by_hash if packed is None else F.coalesce(F.col(_TASK), by_hash)
+        task = F.when(F.col(_BASE).isNotNull(), F.lit(n) + F.col(_BASE) + turn).otherwise(cold_task)
         out = (
-            joined.withColumn(_ORDER, content)
-            .sortWithinPartitions(_BASE, _ORDER)
-            .withColumn(_TASK, task.cast("int"))
+            joined.withColumn(_TASK, task.cast("int"))
             .repartitionById(result.num_tasks, F.col(_TASK))
             .select(*df.columns)
         )
@@ -330,21 +417,36 @@ def write_prepared(
     max_records_per_file: int | None = None,
     compression: str | None = None,
     below: str | None = None,
+    atomic: bool = True,
+    on_step: Callable[[str], None] | None = None,
 ) -> ExportResult:
     """Write a :class:`PreparedExport` and release its cached planning data.
 
     ``below`` is the directory of one value of the first key: the rest of the tree is written
-    into it, and the whole of it is replaced.
+    into it, and the whole of it is replaced.  With ``atomic`` the files are written beside the
+    target and exchanged for the old ones when all are there (:mod:`.commit`), else in place.
     """
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {sorted(OVERWRITE_MODES)}, got {overwrite!r}")
     result = prep.result
     limit = max_records_per_file or result.max_rows_per_file
+    frame, keys = (prep.frame, result.keys) if below is None else (prep.frame.drop(result.keys[0]), result.keys[1:])
     try:
-        if below is None:
-            _write(prep.frame, path, result.keys, overwrite, limit, compression)
+        if not atomic:
+            _write(frame, path if below is None else below, keys, overwrite if below is None else "all", limit, compression)
         else:
-            _write(prep.frame.drop(result.keys[0]), below, result.keys[1:], "all", limit, compression)
+            change = Replacement(frame.sparkSession, path, on_step)
+            inside = "" if below is None else below.removeprefix(path.rstrip("/")).strip("/")
+            try:
+                _write(frame, f"{change.stage}/{inside}".rstrip("/"), keys, "all", limit, compression)
+                if below is not None:
+                    arriving = [inside]
+                else:
+                    arriving = [""] if overwrite == "all" else change.staged_directories(len(keys))
+            except Exception:
+                change.discard()
+                raise
+            change.commit(arriving)
     finally:
         prep.release()
     result.path, result.overwrite = path, overwrite
@@ -369,6 +471,8 @@ def export_partitioned(
     compression: str | None = None,
     validate_keys: bool = True,
     observe_sum: str | None = None,
+    atomic: bool = True,
+    on_step: Callable[[str], None] | None = None,
 ) -> ExportResult:
     """Write ``df`` as Hive-partitioned Parquet below ``path``.
 
@@ -378,6 +482,10 @@ def export_partitioned(
     anything is written (they would be conflated in
     ``__HIVE_DEFAULT_PARTITION__``).  ``observe_sum`` names a column whose sum
     (and the row count) is recorded while writing, without another scan.
+
+    A run that fails or is killed leaves the old files or the new ones, never a mixture: the
+    new tree is written beside the target and exchanged by renames (:mod:`.commit`).
+    ``atomic=False`` writes in place, for filesystems without a rename of directories.
     """
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {sorted(OVERWRITE_MODES)}, got {overwrite!r}")
@@ -394,7 +502,13 @@ def export_partitioned(
         observe_sum=observe_sum,
     )
     return write_prepared(
-        prep, path, overwrite=overwrite, max_records_per_file=max_records_per_file, compression=compression
+        prep,
+        path,
+        overwrite=overwrite,
+        max_records_per_file=max_records_per_file,
+        compression=compression,
+        atomic=atomic,
+        on_step=on_step,
     )
 
 

@@ -5,13 +5,14 @@ Reference semantics: ``DELETE WHERE extract_date = D`` followed by
 top-level directory, so the replacement overwrites that directory as a
 whole: tuples that no longer receive rows go with it, and nothing else is
 listed or touched.  No rows remove the directory.  Running the same replacement
-twice gives the same result.  For a catalog table see
-:func:`partwright.operators.table.replace_table_date`.
+twice gives the same result, and a killed one leaves the date as it was or as it
+should be (:mod:`.commit`).  A catalog table at ``path`` does not learn of new dates here:
+use :func:`partwright.operators.table.replace_table_date` for it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import paths
 from ..functions.dates import date_literal, parse_date
 from ..functions.keys import escape_value
+from .commit import Replacement
 from .export import prepare_export, reads_from, write_prepared
 
 
@@ -32,6 +34,8 @@ def replace_date(
     sort_within: Sequence[str] = (),
     max_rows_per_file: int | None = None,
     strategy: str | None = None,
+    atomic: bool = True,
+    on_step: Callable[[str], None] | None = None,
 ) -> dict:
     """Replace date ``extract_date`` under ``path`` by ``rows``.
 
@@ -65,7 +69,13 @@ def replace_date(
     target_dir = f"{path.rstrip('/')}/{date_column}={escape_value(day)}"
     if not prep.result.rows:
         prep.release()
-        removed = paths.delete_tree(rows.sparkSession, target_dir)
-        return {"rows": 0, "removed_partition": removed}
-    res = write_prepared(prep, path, overwrite="partitions", below=target_dir)
+        spark = rows.sparkSession
+        if not atomic:
+            return {"rows": 0, "removed_partition": paths.delete_tree(spark, target_dir)}
+        change = Replacement(spark, path, on_step)
+        there = paths.exists(spark, target_dir)
+        if there:
+            change.commit(arriving=(), leaving=(target_dir.rpartition("/")[2],))
+        return {"rows": 0, "removed_partition": there}
+    res = write_prepared(prep, path, overwrite="partitions", below=target_dir, atomic=atomic, on_step=on_step)
     return {"rows": res.rows, "removed_partition": False, "export": res}

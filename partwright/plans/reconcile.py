@@ -210,7 +210,7 @@ def partition_distribution(
     bound = max_rows_per_file or default_max_rows_per_file(source)
     per_dir = partition_files(spark, path, keys, inventory).select(*keys, "n_files")
     src_keys = source.groupBy(*[F.col(k).cast("string").alias(k) for k in keys]).agg(
-        slots_of(F.count(F.lit(1)), bound).alias("_src")
+        slots_of(F.count(F.lit(1)), bound, by_number=True).alias("_src")  # either way of dealing keeps within it
     )
     joined = src_keys.join(per_dir.withColumn("_dir", F.lit(True)), on=list(keys), how="full_outer")
     out = joined.agg(
