@@ -57,6 +57,25 @@ def without(df: DataFrame, names) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def set_aside(df: DataFrame, replaced) -> tuple[list[str], list[Column], list[Column]]:
+    """Columns of ``df`` that an operator passes through, under numbered names, and the way back.
+
+    Returns their names, the columns to select first (``in_0`` ...) and those to select last.  An
+    operator whose own names don't begin with ``in_`` clashes with no column of its input.
+    """
+    kept = without(df, replaced)
+    return (
+        kept,
+        [quoted(c).alias(f"in_{k}") for k, c in enumerate(kept)],
+        [F.col(f"in_{k}").alias(c) for k, c in enumerate(kept)],
+    )
+
+
 def utf8_parts(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary array as one uint8 array, and its n + 1 offsets.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partwright.llm.common import byte_slices
+from partwright.llm.common import byte_slices, set_aside
 
 UNIT_WORDS = 32
 PASSAGE_WORDS = 2 * UNIT_WORDS  # with a step of half, every unit lies whole in a passage
@@ -90,8 +90,11 @@ class BlockMaxIndex:
         self.blocks = -(-len(self.unit_item) // BLOCK_UNITS)
         self.rest = np.zeros(self.blocks)
         kept = []
+        # The entries of one block stand together; each is looked at once.
+        by_block = np.argsort(self.units // BLOCK_UNITS, kind="stable")
+        cuts = np.searchsorted(self.units[by_block] // BLOCK_UNITS, np.arange(self.blocks + 1))
         for block in range(self.blocks):
-            inside = np.flatnonzero(self.units // BLOCK_UNITS == block)
+            inside = by_block[cuts[block] : cuts[block + 1]]
             table = np.zeros((len(np.unique(terms[inside])), BLOCK_UNITS))
             names, row = np.unique(terms[inside], return_inverse=True)
             table[row, self.units[inside] % BLOCK_UNITS] = self.impacts[inside]
@@ -343,5 +346,7 @@ def contaminated(
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents of ``df`` in which :func:`contaminated` finds no item; rows with a null id stay."""
-    hits = contaminated(df, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("__hit")).distinct()
-    return df.join(hits, F.col(id_col) == F.col("__hit"), "left_anti")
+    found = contaminated(df, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("hit")).distinct()
+    _, inner, back = set_aside(df, ())
+    own = inner[df.columns.index(id_col)]
+    return df.select(*inner, own.alias("own")).join(found, F.col("own") == F.col("hit"), "left_anti").select(*back)

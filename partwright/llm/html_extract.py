@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partwright.llm.common import byte_slices, without
+from partwright.llm.common import byte_slices, quoted, set_aside
 
 PATH_DIMS, WORD_DIMS, MEASURES = 160, 48, 8
 HIDDEN = 20
@@ -33,10 +33,19 @@ BATCH_BLOCKS = 8192
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small"
-    " span strike strong sub sup time tt u var wbr".split()
+    " span strike strong sub sup time tt u var wbr"
+    # formulas are read as part of their sentence
+    " math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle"
+    " msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+# Code, up to the end tag whatever stands in between.
+RAW = frozenset("script style".split())
+# Not shown as text of the page, up to the end tag.  One that is never closed ends at the next block-level tag.
+SKIPPED = frozenset("noscript template textarea title iframe svg object select annotation annotation-xml".split())
+NESTING = frozenset("template svg object".split())
+# These stand within a sentence.
+WITHIN = frozenset("annotation annotation-xml".split())
 # A start tag of the key ends an open element of the values.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -47,6 +56,12 @@ _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)(?:>|[^>]*(?:>|\Z)))",
     re.DOTALL,
 )
+_SKIPPED = re.compile(rf"<(/?)({'|'.join(sorted(SKIPPED, key=len, reverse=True))})(?=[\s/>])[^>]*>?", re.IGNORECASE)
+_BLOCK = re.compile(
+    r"</?(?:address|article|aside|blockquote|body|center|dd|details|dialog|div|dl|dt|fieldset|figcaption|figure|footer|form"
+    r"|h[1-6]|header|hr|html|li|main|menu|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)(?=[\s/>])",
+    re.IGNORECASE,
+)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.IGNORECASE)
 _PART = re.compile(r"[a-z]+")
@@ -65,15 +80,36 @@ def _marks(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def _closed(page: str) -> dict[int, int]:
+    """Start of each element of SKIPPED that is closed, and the end of its end tag; one pass over the page."""
+    ends: dict[int, int] = {}
+    waiting: dict[str, list[int]] = {}
+    for tag in _SKIPPED.finditer(page):
+        name = tag[2].lower()
+        starts = waiting.setdefault(name, [])
+        if tag[1]:
+            if starts:
+                ends[starts.pop()] = tag.end()
+        elif not tag[0].endswith("/>"):
+            if name not in NESTING:
+                starts.clear()  # a second start tag: the first was never closed
+            starts.append(tag.start())
+    return ends
+
+
 def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
     """(text, path marks, characters in links) of the leaf blocks of a page, in order.
 
     Character references are decoded and white space is one space; blocks without text are left out.
+    What is not shown (SKIPPED) is left out up to its end tag; where that is missing, up to the next
+    block-level tag, so a page with an unclosed element loses none of its blocks.
     """
     blocks: list[tuple[str, tuple, int]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
     linked, links, at, end = 0, 0, 0, len(page)
+    closed: dict[int, int] | None = None
+    more_blocks = True
 
     def close():
         nonlocal linked
@@ -104,7 +140,8 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
             elif tag == "a":
                 links = 0 if found[1] else 1
             continue
-        close()
+        if tag not in WITHIN:
+            close()
         if found[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
@@ -115,6 +152,16 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
             if not found[3].rstrip().endswith("/"):
                 ended = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
                 at = ended.end() if ended else end
+        elif tag in SKIPPED and not found[3].rstrip().endswith("/"):
+            closed = _closed(page) if closed is None else closed
+            stop = closed.get(found.start())
+            if stop is None and more_blocks:
+                block = _BLOCK.search(page, at)
+                stop, more_blocks = (block.start(), True) if block else (None, False)
+            if stop is None:
+                stack.append((tag, _marks(tag, found[3])))
+            else:
+                at = max(at, stop)
         elif tag not in VOID:
             shut = CLOSES.get(tag, ())
             if stack and (stack[-1][0] == "p" or stack[-1][0] in shut):
@@ -137,8 +184,9 @@ def _word_bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % WORD_DIMS
 
 
-def block_vectors(blocks: list[tuple[str, tuple, int]]) -> np.ndarray:
-    """One row for each block."""
+def block_vectors(blocks: list[tuple[str, tuple, int]], first: int = 0, total: int | None = None) -> np.ndarray:
+    """One row for each block; ``first`` and ``total`` place a piece within its page."""
+    total = len(blocks) if total is None else total
     out = np.zeros((len(blocks), PATH_DIMS + WORD_DIMS + MEASURES), np.float32)
     for i, (text, path, linked) in enumerate(blocks):
         out[i, _path_buckets(path)] = 1.0
@@ -154,7 +202,7 @@ def block_vectors(blocks: list[tuple[str, tuple, int]]) -> np.ndarray:
             min(1.0, 10 * len(_STOPS.findall(text)) / size),
             float(text[-1] in ".!?\"'”’)"),
             float("©" in text),
-            i / len(blocks),
+            (first + i) / total,
             min(1.0, len(path) / 16),
         )
     return out
@@ -243,6 +291,66 @@ def label_blocks(pages: list[np.ndarray], weights: dict) -> list[np.ndarray]:
     return out
 
 
+def _states(x: np.ndarray, wx, wh, b, state):
+    """Hidden states of one direction over one piece of a page, and the state to go on with."""
+    n = wh.shape[0]
+    h, c = state
+    gates, out = x @ wx + b, np.zeros((len(x), n), x.dtype)
+    for t in range(len(x)):
+        z = gates[t] + h @ wh
+        i, f, o = (_sigmoid(z[k * n : (k + 1) * n]) for k in range(3))
+        c = f * c + i * np.tanh(z[3 * n :])
+        h = o * np.tanh(c)
+        out[t] = h
+    return out, (h, c)
+
+
+def label_long_page(blocks: list[tuple[str, tuple, int]], weights: dict, piece: int = BATCH_BLOCKS) -> np.ndarray:
+    """Probabilities as :func:`label_blocks` gives them, with the vectors of one piece of the page at a time.
+
+    The states pass from piece to piece, ahead and then back, so every decision sees the whole page.
+    """
+    n, hidden = len(blocks), weights["wh0"].shape[0]
+    logits = np.full(n, weights["bo"][0], np.float32)
+    cuts = [(a, min(n, a + piece)) for a in range(0, n, piece)]
+    zero = (np.zeros(hidden, np.float32), np.zeros(hidden, np.float32))
+    state = zero
+    for a, b in cuts:
+        x = block_vectors(blocks[a:b], a, n)
+        out, state = _states(x, weights["wx0"], weights["wh0"], weights["b0"], state)
+        logits[a:b] += out @ weights["wo"][:hidden]
+    state = zero
+    for a, b in reversed(cuts):
+        x = block_vectors(blocks[a:b], a, n)[::-1]
+        out, state = _states(x, weights["wx1"], weights["wh1"], weights["b1"], state)
+        logits[a:b] += (out @ weights["wo"][hidden:])[::-1]
+    return _sigmoid(logits)
+
+
+def labelled(pages: list[list[tuple[str, tuple, int]]], weights: dict) -> list[np.ndarray]:
+    """Probabilities for the blocks of each page; holds the vectors of a few thousand blocks at a time."""
+    out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
+    group: list[int] = []
+    held = 0
+
+    def flush():
+        for k, p in zip(group, label_blocks([block_vectors(pages[k]) for k in group], weights), strict=True):
+            out[k] = p
+        group.clear()
+
+    for k, page in enumerate(pages):
+        if len(page) > BATCH_BLOCKS:
+            out[k] = label_long_page(page, weights)
+            continue
+        group.append(k)
+        held += len(page)
+        if held > 4 * BATCH_BLOCKS:
+            flush()
+            held = 0
+    flush()
+    return out
+
+
 def train_network(pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, seed: int = 7) -> dict:
     """Weights after Adam steps on the mean cross-entropy of (vectors, labels) pages."""
     rng = np.random.default_rng(seed)
@@ -526,28 +634,23 @@ def main_text(
     through; an empty table gives an empty result; repeated rows are treated alike.
     """
     weights = default_network() if weights is None else weights
-    kept = [c for c in without(df, (text_as, "n_chars")) if c != html_col]
-    slim = df.select(*kept, F.col(html_col).alias("__html"))
+    kept, inner, back = set_aside(df, (text_as, "n_chars", *(() if html_col == text_as else (html_col,))))
+    slim = df.select(*inner, quoted(html_col).alias("html"))
+    passed = [f"in_{k}" for k in range(len(kept))]
 
     def extract(batches):
         for batch in batches:
-            for part in byte_slices(batch, "__html", SLICE_BYTES):
-                pages = [leaf_blocks(page) if page else [] for page in part.column("__html").to_pylist()]
-                labels = label_blocks([block_vectors(p) for p in pages], weights)
+            for part in byte_slices(batch, "html", SLICE_BYTES):
+                pages = [leaf_blocks(page) if page else [] for page in part.column("html").to_pylist()]
                 texts = [
                     " ".join(b[0] for b, main in zip(p, label >= keep_at, strict=True) if main)
-                    for p, label in zip(pages, labels, strict=True)
+                    for p, label in zip(pages, labelled(pages, weights), strict=True)
                 ]
                 yield pa.record_batch(
-                    [
-                        *[part.column(c) for c in kept],
-                        pa.array(texts, pa.string()),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                    ],
-                    names=[*kept, text_as, "n_chars"],
+                    [*[part.column(c) for c in passed], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                    names=[*passed, "text", "n_chars"],
                 )
 
-    return slim.mapInArrow(
-        extract,
-        T.StructType([*[df.schema[c] for c in kept], T.StructField(text_as, T.StringType()), T.StructField("n_chars", T.LongType())]),
-    )
+    fields = [T.StructField(p, df.schema[c].dataType) for p, c in zip(passed, kept, strict=True)]
+    made = slim.mapInArrow(extract, T.StructType([*fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+    return made.select(*back, F.col("text").alias(text_as), "n_chars")

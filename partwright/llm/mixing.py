@@ -9,19 +9,21 @@ training position.  A final range sort deals the documents out by position.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partwright.llm.common import WORD_PATTERN, without
+from partwright.llm.common import WORD_PATTERN, quoted, set_aside
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 # Density of each weight's schedule at equidistant times from 0 to 1, linear between.
 SCHEDULES = {5: (1.5, 1.0, 0.5), 2: (1.0, 1.0, 1.0), 1: (0.5, 1.0, 1.5)}
-# Prefix sums are taken in two levels: sums of a source's bins, then rows within a bin.
-BIN_DIGITS = 3
+# Prefix sums are taken in two levels: sums of a source's bins (leading hex digits of the order), then rows
+# within a bin.  The number of digits follows the table, so that a bin of the largest source has about so many rows.
+BIN_ROWS = 20_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -88,23 +90,25 @@ def plan_mix(
     A source's documents are laid end to end in the order of a hash of their ids,
     pass after pass; the mix takes the words up to the target, so the last
     document taken of a source may be cut.  Null text: size 0.  A null source is a
-    source of its own, after all others; a null id hashes as the empty string;
-    repeated rows are laid side by side, and which of equal rows comes first has
-    no effect on the rows returned.  Input columns named like the new ones are
-    replaced.  An empty table gives an empty result.
+    source of its own, after all others.  Rows of one id go by size, then by a hash of the
+    text; a null id takes the text's hash in its place, so such rows are spread as others are.
+    Hence the same rows get the same places on every run, whatever their partitioning; only rows equal in id,
+    source and text are interchangeable.  Input columns named like the new ones are replaced, all others
+    pass through whatever their names.  An empty table gives an empty result.
     """
     new = ("size", "source_size", "target", "taken", "copies")
-    kept = [c for c in without(df, new) if c.lower() not in ("__source", "__order", "__bin")]
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    _, inner, back = set_aside(df, new)
+    text = quoted(text_col)
+    size = F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    tie = F.xxhash64(F.coalesce(text, F.lit("")))
+    named = F.coalesce(quoted(id_col).cast("string"), F.concat(F.lit("null "), F.hex(tie)))
     rows = df.select(
-        *kept,
-        size.alias("size"),
-        F.col(source_col).alias("__source"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("__order"),
-    ).withColumn("__bin", F.substring("__order", 1, BIN_DIGITS))
-
-    slim = rows.select(F.col("__source").alias("source"), "size", F.col("__bin").alias("bin"))
-    bins = slim.groupBy("source", "bin").agg(F.sum("size").alias("size"))
+        *inner, size.alias("size"), quoted(source_col).alias("source"), F.md5(named.cast("binary")).alias("order"), tie.alias("tie")
+    )
+    digits = max(1, math.ceil(math.log(max(1, df.count() / BIN_ROWS), 16)))
+    rows = rows.withColumn("bin", F.substring("order", 1, digits))
+
+    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("size"))
     targets = source_targets(bins, weights, max_repeats)
     ahead = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = bins.select("source", "bin", F.coalesce(F.sum("size").over(ahead), F.lit(0)).alias("offset"))
@@ -113,22 +117,22 @@ def plan_mix(
         F.col("o.source").alias("k_source"), F.col("o.bin").alias("k_bin"), "offset", "source_size", "weight", "target"
     )
     within = (
-        Window.partitionBy("__source", "__bin")
-        .orderBy("__order", "size")
+        Window.partitionBy("source", "bin")
+        .orderBy("order", "size", "tie")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
-        rows.join(known, F.col("__source").eqNullSafe(F.col("k_source")) & (F.col("__bin") == F.col("k_bin")))
-        .withColumn("__at", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+        rows.join(known, F.col("source").eqNullSafe(F.col("k_source")) & (F.col("bin") == F.col("k_bin")))
+        .withColumn("at", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     )
     demand = F.floor("target").cast("long")
 
     def take(k: int) -> Column:
-        left = demand - F.lit(k) * F.col("source_size") - F.col("__at")
+        left = demand - F.lit(k) * F.col("source_size") - F.col("at")
         return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
 
     def position(k: int) -> Column:
-        ahead = F.col("__at") + F.lit(k) * F.col("source_size")
+        ahead = F.col("at") + F.lit(k) * F.col("source_size")
         share = F.when(demand > 0, F.least(ahead / demand, F.lit(1.0))).otherwise(F.lit(0.0))
         chain = None
         for weight, values in schedules.items():
@@ -140,21 +144,34 @@ def plan_mix(
         F.array(*[F.struct(take(k).alias("take"), position(k).alias("position")) for k in range(max_repeats)]),
         lambda x: x["take"] > 0,
     )
-    taken = take(0)
-    for k in range(1, max_repeats):
-        taken = taken + take(k)
-    return placed.select(*kept, "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))
+    placed = placed.select(*[f"in_{k}" for k in range(len(back))], "size", "source_size", "target", copies.alias("copies"))
+    taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, x: total + x["take"])
+    return placed.select(*back, "size", "source_size", "target", taken.alias("taken"), "copies")
+
+
+def in_training_order(plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of :func:`plan_mix`, range-sorted by the position of their first copy, which is added as ``position``.
+
+    Documents of which nothing is taken have none; they are spread by their hash, first of all.
+    """
+    _, inner, back = set_aside(plan, ("position",))
+    first = F.get("copies", F.lit(0))["position"]
+    spread = F.when(first.isNull(), F.xxhash64(quoted(id_col), "size")).otherwise(F.lit(0))
+    rows = plan.select(*inner, first.alias("position"), spread.alias("spread"))
+    ordered = rows.repartitionByRange("position", "spread").sortWithinPartitions("position")
+    return ordered.select(*back, "position")
 
 
 def mix_sources(df: DataFrame, **options) -> DataFrame:
     """The training order: one row per copy taken, range-sorted by position.
 
     Adds copy (from 0), take (words of that copy) and position (0..1) to the columns of
-    :func:`plan_mix`; documents of which nothing is taken are absent.
+    :func:`plan_mix`; documents of which nothing is taken are absent.  Input columns of these names are replaced.
     """
     plan = plan_mix(df, **options)
-    kept = [c for c in plan.columns if c != "copies" and c.lower() not in ("copy", "take", "position")]
-    copies = plan.select(*kept, F.posexplode("copies").alias("copy", "__c")).select(
-        *kept, "copy", F.col("__c.take").alias("take"), F.col("__c.position").alias("position")
+    _, inner, back = set_aside(plan, ("copies", "copy", "take", "position"))
+    rows = plan.select(*inner, F.posexplode("copies").alias("copy", "taken_copy"))
+    rows = rows.select(
+        *[f"in_{k}" for k in range(len(back))], "copy", F.col("taken_copy.take").alias("take"), F.col("taken_copy.position").alias("position")
     )
-    return copies.repartitionByRange("position").sortWithinPartitions("position")
+    return rows.repartitionByRange("position").sortWithinPartitions("position").select(*back, "copy", "take", "position")

@@ -12,7 +12,7 @@ from partwright.llm.decontaminate import contaminated
 from partwright.llm.exact_dedup import exact_dedup
 from partwright.llm.html_extract import main_text
 from partwright.llm.line_dedup import line_dedup
-from partwright.llm.mixing import plan_mix
+from partwright.llm.mixing import SCHEDULES, in_training_order, plan_mix
 from partwright.llm.ngram_join import ngram_join
 from partwright.llm.periodic_runs import detect_periodic_runs
 from partwright.llm.quality import fit_quality, score_quality
@@ -56,8 +56,9 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = plan_mix(read_table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    """The documents in training order: words taken, and the position of the first copy (null: none taken)."""
+    plan = in_training_order(plan_mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +107,26 @@ QUERIES = {
 }
 
 _STOP_WORDS = ", ".join(f"'{w}', '{w.capitalize()}'" for w in STOP_WORDS)
+
+
+def _position_sql(share: str) -> str:
+    """The time at which the integral of a weight's schedule reaches ``share`` of its total."""
+    cases = []
+    for weight, values in SCHEDULES.items():
+        step = 1.0 / (len(values) - 1)
+        areas = [(a + b) / 2 * step for a, b in zip(values, values[1:], strict=False)]
+        area = f"({share} * {sum(areas)}::DOUBLE)"
+        pieces = ""
+        for k in reversed(range(len(areas))):
+            rest, slope = f"({area} - {sum(areas[:k])}::DOUBLE)", (values[k + 1] - values[k]) / step
+            time = (
+                f"{k * step}::DOUBLE + 2::DOUBLE * {rest} / ({values[k]}::DOUBLE + sqrt({values[k] ** 2}::DOUBLE + {2 * slope}::DOUBLE * {rest}))"
+            )
+            pieces += f" WHEN {area} >= {sum(areas[:k])}::DOUBLE THEN {time}" if k else f" ELSE {time}"
+        cases.append(f"WHEN weight = {weight} THEN (CASE{pieces} END)")
+    return f"CASE {' '.join(cases)} ELSE {share} END"
+
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE = {
@@ -135,7 +156,7 @@ WITH RECURSIVE
      r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
 SELECT r.id AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id
 FROM r LEFT JOIN n ON n.doc_id = r.id GROUP BY r.id""",
-    "op8_mix_sources": r"""
+    "op8_mix_sources": rf"""
 WITH d AS (SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS o,
                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
      s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -148,15 +169,18 @@ WITH d AS (SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS o,
                       - coalesce(sum(weight) OVER (ORDER BY level, source NULLS LAST
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS share FROM c),
      x AS (SELECT arg_min(share, level) AS unit FROM u WHERE share <= level),
-     t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, (SELECT unit FROM x) * weight) AS target FROM w),
-     p AS (SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target)::BIGINT AS demand,
+     t AS (SELECT source, source_size, weight, least((3 * source_size)::DOUBLE, (SELECT unit FROM x) * weight) AS target FROM w),
+     p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.weight, floor(t.target)::BIGINT AS demand,
                   coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.o, d.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
-           FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+           FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+     y AS (SELECT *, greatest(0, least(size, demand - ahead)) AS take,
+                  CASE WHEN demand > 0 THEN least(ahead / demand, 1::DOUBLE) ELSE 0::DOUBLE END AS share FROM p)
 SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, demand - ahead)) + greatest(0, least(size, demand - source_size - ahead))
-        + greatest(0, least(size, demand - 2 * source_size - ahead)))::BIGINT AS taken
-FROM p""",
+       (take + greatest(0, least(size, demand - source_size - ahead))
+        + greatest(0, least(size, demand - 2 * source_size - ahead)))::BIGINT AS taken,
+       CASE WHEN take > 0 THEN {_position_sql('share')} END AS position
+FROM y""",
     "op11_quality_rules": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,

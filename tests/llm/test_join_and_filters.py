@@ -347,7 +347,44 @@ def test_leaf_blocks():
     assert [b[0] for b in blocks] == ["Home", "Two", "A <b> c", "One twothree", "x y", "z 1 < 2", "tail"]
     assert "c:post" in blocks[2][1] and "c:hidden" in blocks[5][1] and "t:nav" in blocks[0][1]
     assert blocks[0][2] == 4
-    assert H.leaf_blocks("") == [] and H.leaf_blocks("<p>") == [] and H.leaf_blocks("a <b") == ["a"] or True
+    assert H.leaf_blocks("") == [] and H.leaf_blocks("<p>") == []
+    assert [b[0] for b in H.leaf_blocks("a <b")] == ["a"]
+
+
+def test_unclosed_elements_lose_no_blocks():
+    def texts(page):
+        return [b[0] for b in H.leaf_blocks(page)]
+
+    for tag in ("select><option", "svg><path", "iframe src='x'", "object", "textarea", "noscript", "template", "title"):
+        page = f"<article><p>A one.</p><{tag}>x<p>B two.</p><p>C three.</p></article><p>D</p>"
+        assert texts(page) == ["A one.", "B two.", "C three.", "D"], tag
+        name = tag.split(">")[0].split()[0]
+        assert texts(page.replace("<p>B", f"</{name}><p>B")) == ["A one.", "B two.", "C three.", "D"]
+        # an unclosed one before a closed one
+        later = page.replace("<p>D", f"<{name}>hidden</{name}><p>D")
+        assert texts(later)[-2:] == ["C three.", "D"] and "B two." in texts(later)
+    assert texts("<svg><svg></svg><text>no</text></svg>yes") == ["yes"]
+    assert texts("<svg><text>x y") == ["x y"]
+    formula = "<p>Given <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>TeX</annotation></math> then.</p>"
+    assert texts(formula) == ["Given x=2 then."]
+    assert texts("<svg>" * 50_000 + "<p>end") == ["end"] and texts("<svg>" * 50_000 + "end") == ["end"]
+
+
+def test_long_pages_are_labelled_in_pieces_alike():
+    weights = H.default_network()
+    blocks = [b for _ in range(40) for b in H.leaf_blocks(H._PageMaker(5).page())]
+    whole = H.label_blocks([H.block_vectors(blocks)], weights)[0]
+    for piece in (1, 37, 10_000):
+        assert np.allclose(H.label_long_page(blocks, weights, piece), whole, atol=1e-4)
+
+
+def test_labelled_in_groups_equals_one_by_one(monkeypatch):
+    weights = H.default_network()
+    pages = [H.leaf_blocks(H._PageMaker(k).page()) for k in range(30)] + [[]]
+    one = [H.label_blocks([H.block_vectors(p)], weights)[0] for p in pages]
+    monkeypatch.setattr(H, "BATCH_BLOCKS", 20)
+    for a, b in zip(one, H.labelled(pages, weights), strict=True):
+        assert np.allclose(a, b, atol=1e-4)
 
 
 def test_network_labels_unseen_layouts_and_its_gradients_hold():
