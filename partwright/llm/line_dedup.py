@@ -18,14 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partwright.llm.common import SPACE, byte_slices, lower_az, mix64, shuffle_partitions, without, written
+from partwright.llm.common import SPACE, byte_slices, lower_az, mix64, quoted, set_aside, shuffle_partitions, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 # Lines in one shard's arrays, about; bounds the memory of a probing task.
 SHARD_KEYS = 400_000
-# Each shard's arrays go to so many tasks, which share its probes.
+# Each shard's arrays go to so many tasks at least, which share its probes, and to one for every so many documents
+# that hold the shard's commonest line.
 SHARD_COPIES = 4
+COPY_DOCS = 1_000_000
 SLICE_BYTES = 16 << 20
 
 _DIGEST = np.dtype([("h", "<i8"), ("f", "<i4"), ("rest", "<i4")])
@@ -182,7 +184,7 @@ def line_dedup(
 
     spark = df.sparkSession
     id_type = df.schema[id_col].dataType
-    slim = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    slim = df.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
 
     def lines(batches):
         for batch in batches:
@@ -204,6 +206,11 @@ def line_dedup(
         "frequent_lines",
     )
     shards = max(shuffle_partitions(spark), -(-frequent.count() // SHARD_KEYS))
+    # A shard is met in as many tasks as the documents of its commonest line ask for; one number a shard.
+    copies = np.full(shards, SHARD_COPIES, np.int32)
+    commonest = frequent.groupBy(F.pmod("h", F.lit(shards)).cast("int").alias("shard")).agg(F.max("docs").alias("docs"))
+    for row in commonest.filter(F.col("docs") > SHARD_COPIES * COPY_DOCS).collect():
+        copies[row.shard] = -(-row.docs // COPY_DOCS)
 
     names = ["shard", "sizes", "bits", "more", "keys", "prints", "counts", "owners"]
     index_schema = T.StructType(
@@ -234,7 +241,7 @@ def line_dedup(
                 yield pa.record_batch(
                     [
                         pa.array(shard[cuts[:-1]].astype(np.int32)),
-                        pa.array(((rows[cuts[:-1]] + n) % SHARD_COPIES).astype(np.int32)),
+                        pa.array(((rows[cuts[:-1]] + n) % copies[shard[cuts[:-1]]]).astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), part.column("id").take(pa.array(rows))),
                         pa.array([found["h"][a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
                         pa.array([found["f"][a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
@@ -251,9 +258,11 @@ def line_dedup(
             T.StructField("f", T.BinaryType()),
         ]
     )
-    copies = F.sequence(F.lit(0), F.lit(SHARD_COPIES - 1))
+    number = F.broadcast(spark.createDataFrame([(s, int(n)) for s, n in enumerate(copies)], "shard int, copies int"))
     met = (
-        index.select("*", F.explode(copies).alias("copy"), F.lit(0).alias("kind"))
+        index.join(number, "shard")
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"))
+        .drop("copies")
         .unionByName(slim.mapInArrow(probes, probe_schema).withColumn("kind", F.lit(1)), allowMissingColumns=True)
         .repartition("shard", "copy")
         .sortWithinPartitions("shard", "copy", "kind")
@@ -285,18 +294,20 @@ def line_dedup(
     dropped = (
         met.mapInArrow(probe, line_schema)
         .groupBy("id")
-        .agg(F.collect_set(F.struct("h", "f")).alias("__lines"))
-        .withColumnRenamed("id", "__id")
+        .agg(F.collect_set(F.struct("h", "f")).alias("lines"))
+        .withColumnRenamed("id", "of")
     )
-    kept = [c for c in without(df, ("n_lines", "n_dropped", "__id", "__lines"))]
-    joined = df.select(*kept).join(dropped, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
+    kept, inner, back = set_aside(df, ("n_lines", "n_dropped"))
+    passed, text_at = [f"in_{k}" for k in range(len(kept))], f"in_{kept.index(text_col)}"
+    own = df.select(*inner, quoted(id_col).alias("own"))
+    joined = own.join(dropped, F.col("own").eqNullSafe(F.col("of")), "left").drop("own", "of")
 
     def rewrite(batches):
         for batch in batches:
-            for part in byte_slices(batch, text_col, SLICE_BYTES):
+            for part in byte_slices(batch, text_at, SLICE_BYTES):
                 texts, n_lines, n_dropped = [], [], []
-                drops = part.column("__lines")
-                for i, text in enumerate(part.column(text_col).to_pylist()):
+                drops = part.column("lines")
+                for i, text in enumerate(part.column(text_at).to_pylist()):
                     parts = (text or "").split("\n")
                     n_lines.append(len(parts))
                     if drops[i].is_valid:
@@ -311,12 +322,16 @@ def line_dedup(
                     else:
                         n_dropped.append(0)
                         texts.append(text)
-                out = {c: part.column(c) for c in kept}
-                out[text_col] = pa.array(texts, pa.string())
+                out = {c: part.column(c) for c in passed}
+                out[text_at] = pa.array(texts, pa.string())
                 out["n_lines"], out["n_dropped"] = pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())
                 yield pa.record_batch(list(out.values()), names=list(out))
 
     out_schema = T.StructType(
-        [*[df.schema[c] for c in kept], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+        [
+            *[T.StructField(p, df.schema[c].dataType) for p, c in zip(passed, kept, strict=True)],
+            T.StructField("n_lines", T.LongType()),
+            T.StructField("n_dropped", T.LongType()),
+        ]
     )
-    return joined.mapInArrow(rewrite, out_schema)
+    return joined.mapInArrow(rewrite, out_schema).select(*back, "n_lines", "n_dropped")

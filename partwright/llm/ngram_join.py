@@ -6,7 +6,8 @@ sets agree on a whole segment (pigeonhole).  Some segments may also match with o
 shingle deleted; those count twice.  How many of each kind a band uses is chosen by a
 cost model.  Signatures of segments travel packed in byte arrays and meet in buckets;
 bucket members are tried against the bucket's first set, and what that leaves apart within a
-bucket against each other.  Pairs that an exact bound from sizes and parity sketches
+bucket against each other.  Buckets too crowded for that, such as those of a common template, are split by
+rare shingles (:func:`_crowded_links`).  Pairs that an exact bound from sizes and parity sketches
 allows are verified on the whole sets.  Equal sets are one node throughout.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partwright.llm.common import byte_slices, mix64, pair64, shuffle_partitions, utf8_parts, written
+from partwright.llm.common import byte_slices, mix64, pair64, quoted, set_aside, shuffle_partitions, utf8_parts, written
 from partwright.llm.components import connected_components
 from partwright.llm.shingles import WORDS, shingle_sets
 
@@ -35,6 +36,13 @@ SIGNATURE_BYTES = 5
 RECALLED_SETS = 1_000_000
 # Buckets of more sets are compared one by one; rows of smaller ones compared together.
 SMALL_BUCKET = 64
+# Buckets of more sets, in different components, are split by their members' rare shingles.
+CROWDED_BUCKET = 2048
+# Shingles are ranked by counters of so many cells; any ranking that is the same for all sets gives the same links.
+CELLS = 1 << 16
+CELL_ROWS = 16
+# Groups of more sets that share a rare shingle are tried against their first set before all against all.
+LEAD_GROUP = 64
 HELD_ROWS = 50_000
 # A parity sketch has at least twice as many bits as its set has shingles, within these limits.
 SKETCH_BITS = (64, 8192)
@@ -425,12 +433,143 @@ def _verify(batches, words, percent):
             yield pa.record_batch([part.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
+def _cell_counts(batches, words):
+    """How many sets of this task hold a shingle of each cell, in CELL_ROWS rows."""
+    total = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for part in byte_slices(batch, "text", SLICE_BYTES):
+            grams, _ = shingle_sets(*utf8_parts(part.column("text")), words)
+            total += np.bincount((grams % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    pieces = np.split(total, CELL_ROWS)
+    yield pa.record_batch([pa.array(range(CELL_ROWS), pa.int32()), pa.array([x.tobytes() for x in pieces], pa.binary())], names=["piece", "counts"])
+
+
+def _added_cells(batches):
+    """Sums of the rows of each piece; one row per piece is held."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sums[piece] = sums.get(piece, 0) + np.frombuffer(counts, np.int64)
+    if sums:
+        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["piece", "counts"])
+
+
+def shingle_ranks(sets: DataFrame, words: int) -> np.ndarray:
+    """For each cell the logarithm of the number of sets in it: 64 KB, whatever the number of sets."""
+    rows = _struct(piece=T.IntegerType(), counts=T.BinaryType())
+    counted = sets.select("text").mapInArrow(lambda batches: _cell_counts(batches, words), rows)
+    added = counted.repartition(CELL_ROWS, "piece").mapInArrow(_added_cells, rows).collect()
+    total = np.zeros(CELLS, np.int64)
+    for row in added:
+        total[row.piece * (CELLS // CELL_ROWS) : (row.piece + 1) * (CELLS // CELL_ROWS)] = np.frombuffer(row.counts, np.int64)
+    return np.log2(total + 1).astype(np.uint8)
+
+
+def prefix_sizes(sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many of its rarest shingles a set shows as the smaller and as the larger one of a pair.
+
+    Two linked sets have at least p (|A| + |B|) / (100 + p) shingles in common, so 2 p |A| / (100 + p)
+    for the smaller one and p |B| / 100 for the larger.  The first of them in any common
+    order stands in both prefixes.
+    """
+    short = sizes - -(-2 * percent * sizes // (100 + percent)) + 1
+    long = sizes - -(-percent * sizes // 100) + 1
+    return np.where(sizes > 0, short, 0), np.where(sizes > 0, long, 0)
+
+
+def _rare_shingles(batches, ranks, words, percent):
+    """(shingle, id, n, short) of the rarest shingles of each set; short: shown as the smaller set, too."""
+    for batch in batches:
+        for part in byte_slices(batch, "text", SLICE_BYTES // 4):
+            grams, owner = shingle_sets(*utf8_parts(part.column("text")), words)
+            sizes = np.bincount(owner, minlength=part.num_rows).astype(np.int64)
+            order = np.lexsort((mix64(grams ^ _SEED), ranks[(grams % np.uint64(CELLS)).astype(np.int64)], owner))
+            grams, owner = grams[order], owner[order]
+            place = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
+            short, long = prefix_sizes(sizes, percent)
+            shown = place < np.maximum(long, short)[owner]
+            grams, owner, place = grams[shown], owner[shown], place[shown]
+            ids = part.column("id").to_numpy(zero_copy_only=False)[owner]
+            for a in range(0, len(grams), HELD_ROWS):
+                b = a + HELD_ROWS
+                yield pa.record_batch(
+                    [
+                        pa.array(grams[a:b].view(np.int64)),
+                        pa.array(ids[a:b]),
+                        pa.array(sizes[owner[a:b]]),
+                        pa.array(place[a:b] < short[owner[a:b]]),
+                    ],
+                    names=["gram", "id", "n", "short"],
+                )
+
+
+def _crowded_links(crowd: DataFrame, texts: DataFrame, labels: DataFrame, verified, words: int, percent: int) -> tuple[DataFrame | None, DataFrame]:
+    """All links between the sets ``crowd`` (id) that ``labels`` leave in different components, and the labels then.
+
+    Sets that share a segment of a template fill a bucket though few of them are linked.  They
+    meet again by their rarest shingles: two linked sets share one of the rarest ninth of the
+    smaller and the rarest fifth of the larger (:func:`prefix_sizes`), while a template that a third of
+    all sets hold is not among the rare ones, unless sets have hardly anything else and so are linked.
+    Groups are counted before any of them is gathered; only those of several components go
+    on, as pairs of a smaller and a larger set, never as all pairs of a group.
+    """
+    sets = written(texts.join(crowd, "id", "left_semi"), "crowded_sets")
+    ranks = shingle_ranks(sets, words)
+    rare = written(
+        sets.mapInArrow(
+            lambda batches: _rare_shingles(batches, ranks, words, percent),
+            _struct(gram=T.LongType(), id=T.LongType(), n=T.LongType(), short=T.BooleanType()),
+        ),
+        "rare_shingles",
+    )
+    links = None
+    for lead in (True, False):
+        named = rare.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        groups = (
+            named.groupBy("gram")
+            .agg(
+                F.min("component").alias("low"),
+                F.max("component").alias("high"),
+                F.count(F.lit(1)).alias("sets"),
+                F.min(F.when(F.col("short"), F.struct("id", "n", "component"))).alias("lead"),
+            )
+            .filter("low <> high and lead is not null")
+        )
+        if lead:
+            ones = groups.filter(F.col("sets") > LEAD_GROUP).select(
+                "gram", F.col("lead.id").alias("one"), F.col("lead.n").alias("n_one"), F.col("lead.component").alias("of_one")
+            )
+            met = named.join(ones, "gram").filter((F.col("n") >= F.col("n_one")) | F.col("short"))
+        else:
+            alive = named.join(groups.select("gram"), "gram", "left_semi")
+            ones = alive.filter("short").select(
+                "gram", F.col("id").alias("one"), F.col("n").alias("n_one"), F.col("component").alias("of_one")
+            )
+            met = alive.join(ones, "gram").filter(F.col("n") >= F.col("n_one"))
+        apart = (F.col("component") != F.col("of_one")) & (
+            F.greatest("n", "n_one") * percent <= 100 * F.least("n", "n_one")
+        )
+        pairs = met.filter(apart).select(F.least("id", "one").alias("a"), F.greatest("id", "one").alias("b")).distinct()
+        found = written(verified(pairs), "crowded_links")
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            # Components of before are joined by the new links.
+            edges = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).filter("a <> b").union(links)
+            labels = connected_components(edges)
+    return links, labels
+
+
 def _struct(**fields) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in fields.items()])
 
 
 def ngram_join(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = WORDS,
+    percent: int = PERCENT,
+    crowded: int = CROWDED_BUCKET,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
@@ -443,7 +582,7 @@ def ngram_join(
     differ, too.  Other columns are ignored; an empty table gives an empty result.
     """
     spark = df.sparkSession
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
     long, whole, raw = T.LongType(), T.IntegerType(), T.BinaryType()
     described = written(
         texts.mapInArrow(
@@ -485,9 +624,11 @@ def ngram_join(
     first = (
         members.filter("one <> leader").select("one", "leader").distinct().join(one_side, "one").join(leader_side, "leader")
     )
-    first = written(
-        first.filter("a <> b").mapInArrow(lambda batches: _possible(batches, percent), _struct(a=long, b=long)), "first_pairs"
-    )
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        return pairs.mapInArrow(lambda batches: _possible(batches, percent), _struct(a=long, b=long))
+
+    first = written(possible(first.filter("a <> b")), "first_pairs")
 
     def verified(pairs: DataFrame) -> DataFrame:
         # Texts are shuffled, whatever the number of pairs: that number grows with the input.
@@ -500,16 +641,33 @@ def ngram_join(
     labels = connected_components(edges)
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    # What the first sets of the buckets left apart: first the best pair of any two components, then all pairs.
+    def components() -> DataFrame:
+        return facts.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def mixed_buckets() -> DataFrame:
+        """Buckets whose members are still in different components, and their numbers of sets."""
+        stand = members.join(components().select("one", "component"), "one").groupBy("bucket")
+        counts = stand.agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("sets"))
+        return counts.filter("low <> high and sets > 2").select("bucket", "sets")
+
+    # What the first sets of the buckets left apart.  Crowded buckets are done with by rare shingles.
+    full = written(mixed_buckets().filter(F.col("sets") > crowded).select("bucket"), "crowded_buckets")
+    if not full.isEmpty():
+        inside = members.join(full, "bucket", "left_semi").select("one").distinct().join(facts.select("one", "id"), "one")
+
+        def checked(pairs: DataFrame) -> DataFrame:
+            two = pairs.join(one_side.drop("one"), "b").join(leader_side.drop("leader"), "a")
+            return verified(possible(two).distinct())
+
+        more, labels = _crowded_links(inside.select("id").distinct(), texts, labels, checked, words, percent)
+        if more is not None:
+            edges = edges.union(more)
+        members = members.join(full, "bucket", "left_anti")
+
+    # In the others first the best pair of any two components, then all pairs.
     for best in (True, False):
-        state = facts.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = (
-            members.join(state.select("one", "component"), "one")
-            .groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("sets"))
-            .filter("low <> high and sets > 2")
-            .select("bucket")
-        )
+        state = components()
+        mixed = mixed_buckets().select("bucket")
         rest = (
             members.join(mixed, "bucket", "left_semi")
             .withColumn("leads", F.col("one") == F.col("leader"))
@@ -551,9 +709,12 @@ def near_distinct(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("doc_id")
         .agg(F.max(F.col("n_shingles") > 0).alias("worded"), F.min("component_id").alias("component"))
         .filter("worded and component <> doc_id")
-        .select(F.col("doc_id").alias("__gone"))
+        .select(F.col("doc_id").alias("gone"))
     )
-    left = df.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
-    apart = F.when(F.col(id_col).isNull(), F.xxhash64(text_col))  # rows with a null id aren't gathered
-    again = F.row_number().over(Window.partitionBy(id_col, apart).orderBy(F.length(text_col).desc_nulls_last()))
-    return left.withColumn("__again", again).filter(F.col(id_col).isNull() | (F.col("__again") == 1)).drop("__again")
+    _, inner, back = set_aside(df, ())
+    # Two scans: rows with a null id all stay, so they are neither joined nor gathered.
+    rows = df.select(*inner, quoted(id_col).alias("own"), quoted(text_col).alias("text"))
+    left = rows.filter("own is not null").join(gone, F.col("own") == F.col("gone"), "left_anti")
+    again = F.row_number().over(Window.partitionBy("own").orderBy(F.length("text").desc_nulls_last(), "text"))
+    one = left.withColumn("again", again).filter("again = 1").drop("again")
+    return one.unionByName(rows.filter("own is null")).select(*back)

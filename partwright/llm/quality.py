@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partwright.llm.common import WORD_PATTERN, without
+from partwright.llm.common import WORD_PATTERN, quoted, set_aside
 
 SAMPLE_ROWS = 6000
 STATISTICS = (
@@ -218,11 +218,11 @@ def score_quality(
     Only the text enters the score.  Columns named like the new ones are replaced, others
     pass through; an empty table gives an empty result; repeated rows score alike.
     """
-    kept = [c for c in without(df, ("held_out", "score", "predicted")) if not c.startswith("__")]
-    scored = with_statistics(df.select(*kept), text_col).select(
-        *kept, held_out(F.col(id_col)).alias("held_out"), model.column().alias("score")
-    )
-    return scored.withColumn("predicted", (F.col("score") >= keep_at).cast("int"))
+    _, inner, back = set_aside(df, ("held_out", "score", "predicted"))
+    slim = df.select(*inner, quoted(text_col).alias("text"), held_out(quoted(id_col)).alias("held_out"))
+    passed = [f"in_{k}" for k in range(len(inner))]
+    scored = with_statistics(slim).select(*passed, "held_out", model.column().alias("score"))
+    return scored.select(*back, "held_out", "score", (F.col("score") >= keep_at).cast("int").alias("predicted"))
 
 
 def keep_quality(
@@ -233,6 +233,9 @@ def keep_quality(
     A plain filter would be moved below the statistics, with all of them repeated for every rule
     that names them; a generator of one or no row stays where it is.
     """
-    scored = score_quality(df, model, id_col, text_col, keep_at)
+    _, inner, back = set_aside(df, ())
+    own = {c: F.col(f"in_{k}") for k, c in enumerate(df.columns)}
+    slim = df.select(*inner).withColumns({"id": own[id_col], "text": own[text_col]})
+    scored = score_quality(slim, model, "id", "text", keep_at)
     once = F.when(F.col("predicted") == 1, F.array(F.lit(1)))
-    return scored.select("*", F.explode(once).alias("__once")).drop("__once", "held_out", "score", "predicted")
+    return scored.select("*", F.explode(once).alias("once")).select(*back)

@@ -15,10 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partwright.llm.common import ascii_lower, without
+from partwright.llm.common import ascii_lower, quoted, set_aside
 
 BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
+# Share of urls that are to be blocked, before their text is known.
+PRIOR = 0.2
 
 # (verdict, host, path prefix)
 RULES = (
@@ -29,32 +31,37 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-# The labelled table is spelled out as hosts and paths; every host of a class is paired
-# with paths of the same class.
-BLOCKED_HOSTS = (
-    "www.cheap-pills.example.com", "cheap-meds.example.org", "best-pills-online.example.net", "ads-track.example.org",
-    "ad-server.example.com", "adtracker.example.net", "track.click-ads.example.org", "casino-bonus.example.com",
-    "online-casino.example.org", "poker-slots.example.net", "bet-win-cash.example.com", "xxx-cams.example.net",
-    "hot-sex-chat.example.org", "porn-tube.example.com", "free-viagra.example.net", "payday-loans.example.org",
-    "quick-loan-cash.example.com", "replica-watches.example.net", "free-crack-keygen.example.org",
-    "warez-torrent.example.com", "win-free-prize.example.net", "lottery-winner.example.org", "spam-offers.example.com",
-    "adult-videos.example.org", "adult-dating.example.com", "free-betting-tips.example.net", "online-bets.example.org",
-    "sex-dating.example.net", "casino-games-win.example.org", "adult-cams.example.net", "free-bets-bonus.example.com",
-    "popunder-ads.example.net", "banner-ads.example.org", "doubleclick-track.example.com", "click-track.example.net",
-)
+# The labelled table is spelled out of words chosen for this module: a host of either class is one or two words of the
+# class under a domain that both classes share, and is paired with paths of its class.  None is taken from data.
+DOMAINS = ("example.com", "example.org", "example.net", "com", "org", "net")
+PREFIXES = ("", "www.", "m.", "blog.", "", "en.", "")
+BLOCKED_WORDS = (
+    "casino poker slots bet bets betting jackpot lottery pills viagra meds pharma loan loans payday credit porn xxx sex adult"
+    " cams dating escort ads adserver adtrack banner popunder click tracker spam offers warez crack keygen torrent replica prize winner"
+).split()
+BLOCKED_PARTNERS = "free best cheap online win bonus hot quick club hub x track farm now cash".split()
+ALLOWED_WORDS = (
+    "garden library history recipes travel science school museum weather music books maps photos journal forum news wiki docs"
+    " health city sports art code radio theatre kitchen bakery railway village harbour orchard physics poetry letters gazette"
+    " lumora kestavi bruneto alderic mirandel osvaltin quenby farrow tindale werwick shanleth hathern erithon innster anderith"
+).split()
+ALLOWED_PARTNERS = "old north river open daily little my our national green local modern hill stone west".split()
+
+
+def _hosts(words: Sequence[str], partners: Sequence[str]) -> list[str]:
+    """Hosts of one class: each word alone and with two partners, before and behind it."""
+    hosts = []
+    for i, word in enumerate(words):
+        first, second = partners[i % len(partners)], partners[(3 * i + 7) % len(partners)]
+        for k, name in enumerate((word, f"{word}-{first}", f"{second}{word}", f"{second}-{word}")):
+            hosts.append(f"{PREFIXES[(i + 2 * k) % len(PREFIXES)]}{name}.{DOMAINS[(i + k) % len(DOMAINS)]}")
+    return hosts
+
+
 BLOCKED_PATHS = (
     "/buy-cheap-pills", "/casino/bonus", "/click?id=1", "/track/pixel.gif", "/ads/banner", "/xxx/free", "/win/prize",
     "/viagra/order", "/loan/apply-now", "/download/crack", "/en/101", "/de/57.html", "/fr/9/", "/es/733",
 )
-ALLOWED_HOSTS = (
-    "www.example.com", "blog.example.org", "news.example.net", "m.example.com", "en.wiki.example.org",
-    "docs.example.com", "library.example.edu", "journal.example.org", "forum.example.net", "thther.example.org",
-    "blog.ththon.example.net", "www.tionble.example.com", "m.ththin.example.org", "therhe.example.net",
-    "tionsh.example.net", "recipes.example.com", "history.example.org", "science.example.edu", "travel.example.net",
-    "school.example.org", "city.example.gov", "health.example.org", "books.example.com", "music.example.net",
-    "example.net", "foo.net", "bar.org", "site.net", "my-page.org", "team.com", "docs.net", "maps.org", "photos.net",
-    "sports.example.com", "weather.example.org", "garden.example.net", "code.example.org", "art.example.com",
-)
 ALLOWED_PATHS = (
     "/", "/about", "/en/101", "/de/57.html", "/fr/9/", "/es/733", "/article/2021/05/title", "/wiki/History",
     "/docs/guide.html", "/news/local", "/blog/post-12", "/research/paper", "/contact", "/index.html",
@@ -64,8 +71,9 @@ ALLOWED_PATHS = (
 def labelled_urls() -> list[tuple[str, str, int]]:
     """(host, path, 1 to block): the small table the default model is trained from."""
     rows = []
-    for hosts, paths, label in ((BLOCKED_HOSTS, BLOCKED_PATHS, 1), (ALLOWED_HOSTS, ALLOWED_PATHS, 0)):
-        rows += [(h, paths[(i * 5 + k) % len(paths)], label) for i, h in enumerate(hosts) for k in range(4)]
+    blocked, allowed = _hosts(BLOCKED_WORDS, BLOCKED_PARTNERS), _hosts(ALLOWED_WORDS, ALLOWED_PARTNERS)
+    for hosts, paths, label in ((blocked, BLOCKED_PATHS, 1), (allowed, ALLOWED_PATHS, 0)):
+        rows += [(h, paths[(i * 5 + 3 * k) % len(paths)], label) for i, h in enumerate(hosts) for k in range(2)]
     return rows
 
 
@@ -81,15 +89,18 @@ def features(host: str, path: str) -> np.ndarray:
     return np.fromiter(found, np.int64, len(found))
 
 
-def train(rows: Sequence[tuple[str, str, int]], steps: int = 300, rate: float = 0.5, decay: float = 1e-3) -> np.ndarray:
-    """Weights by full-batch gradient steps; the same rows give the same weights."""
+def train(rows: Sequence[tuple[str, str, int]], steps: int = 2000, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
+    """Weights by full-batch gradient steps; the same rows give the same weights.
+
+    The classes count as PRIOR says, whatever the number of their rows: a url that resembles no labelled one is allowed.
+    """
     feats = [features(h, p) for h, p, _ in rows]
     label = np.array([y for _, _, y in rows], float)
     row = np.repeat(np.arange(len(rows)), [len(f) for f in feats])
     bucket = np.concatenate(feats)
     scale = 1.0 / np.sqrt(np.bincount(row, minlength=len(rows)))
     weights = np.zeros(BUCKETS)
-    share = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
+    share = np.where(label == 1, PRIOR / label.sum(), (1 - PRIOR) / (len(label) - label.sum()))
     for _ in range(steps):
         margin = np.bincount(row, weights[bucket], minlength=len(rows)) * scale
         error = (1 / (1 + np.exp(-margin)) - label) * share * scale
@@ -124,14 +135,15 @@ def url_filter(
     A rule fits its host and all subdomains of it if the url's path starts with the
     rule's; the longest rule wins and its verdict holds.  Urls that no rule fits are
     judged by the model.  Null urls and urls without ``://`` have an empty host and
-    path and go to the model.  Columns named like the new ones are replaced; an empty
+    path and go to the model.  Urls that a rule settles are not judged: their score is null.
+    Columns named like the new ones are replaced, others pass through; an empty
     table gives an empty result, and repeated rows are judged alike.
     """
     if weights is None:
         weights = train(labelled_urls())
-    kept = without(df, ("host", "path", "rule", "verdict", "score"))
-    host, path = host_and_path(F.col(url_col))
-    parsed = df.select(*kept, host.alias("host"), path.alias("path"))
+    _, inner, back = set_aside(df, ("host", "path", "rule", "verdict", "score"))
+    host, path = host_and_path(quoted(url_col))
+    parsed = df.select(*inner, host.alias("host"), path.alias("path"))
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for kind, rule_host, rule_path in sorted(rules, key=lambda r: len(r[1] + r[2])):
         fits = ((F.col("host") == rule_host) | F.endswith("host", F.lit("." + rule_host))) & F.startswith(
@@ -142,9 +154,13 @@ def url_filter(
 
     @F.pandas_udf("double")
     def judged(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        return pd.Series([score(weights, h, p) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
+        """Scores of a batch; each distinct url is scored once, a null host not at all."""
+        known = {(h, p): score(weights, h, p) for h, p in set(zip(hosts, paths, strict=True)) if h is not None}
+        return pd.Series([known.get(x) for x in zip(hosts, paths, strict=True)], dtype="float64")
 
+    ruled = parsed.withColumns({"rule": rule, "verdict": verdict})
+    open_host = F.when(F.col("verdict").isNull(), F.col("host"))
     model = F.when(F.col("score") >= block_at, F.lit("block")).otherwise(F.lit("allow"))
-    return parsed.select(*kept, "host", "path", rule.alias("rule"), verdict.alias("verdict"), judged("host", "path").alias("score")).withColumn(
-        "verdict", F.coalesce("verdict", model)
+    return ruled.withColumn("score", judged(open_host, F.col("path"))).select(
+        *back, "host", "path", "rule", F.coalesce("verdict", model).alias("verdict"), "score"
     )

@@ -122,3 +122,30 @@ def test_filters_pass_columns_through_whatever_their_names(spark):
     out = main_text(pages)
     assert set(pages.columns) - {"html"} <= set(out.columns)
     assert all(r[c] == f"input {c}" for r in out.collect() for c in CLASHES if c != "html")
+
+
+def test_other_operators_pass_columns_through_whatever_their_names(spark, monkeypatch):
+    from partwright.llm import line_dedup as L
+    from partwright.llm.ngram_join import near_distinct
+    from partwright.llm.quality import fit_quality, keep_quality, score_quality
+    from partwright.llm.url_filter import url_filter
+
+    names = "__gone __again gone again one __id __lines of lines own __w __n __once once id in_2 __hit score host a.b".split()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit(f"input {c}") for c in names})
+    model = fit_quality(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    monkeypatch.setattr(L, "COPY_DOCS", 1)  # as many copies of a shard as documents hold its commonest line
+    made = {
+        "near_distinct": (near_distinct(docs), set()),
+        "line_dedup": (L.line_dedup(docs), set()),
+        "keep_quality": (keep_quality(docs, model), set()),
+        "score_quality": (score_quality(docs, model), {"score"}),
+        "url_filter": (url_filter(docs.withColumnRenamed("source", "url")), {"score", "host"}),
+    }
+    for name, (out, replaced) in made.items():
+        rows = out.collect()
+        assert rows and set(names) <= set(out.columns), name
+        assert all(r[c] == f"input {c}" for r in rows for c in names if c not in replaced), name
+    plain = L.line_dedup(docs.select("doc_id", "text"))
+    assert collections.Counter(map(tuple, plain.collect())) == collections.Counter(
+        map(tuple, made["line_dedup"][0].select(*plain.columns).collect())
+    )
