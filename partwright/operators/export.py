@@ -38,6 +38,7 @@ from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,7 +46,9 @@ from pyspark.sql import types as T
 from ..functions.keys import partition_subpath
 from ..schema import KEYS
 from ..session import to_local
+from ..paths import exists
 from .commit import Replacement
+from .guard import guarded, null_or_empty, violations_raise
 from .metrics import exact_total
 
 OVERWRITE_MODES = {"all": "static", "partitions": "dynamic"}
@@ -88,6 +91,7 @@ class ExportResult:
     tuples: int | None = None
     hot_tuples: int = 0
     max_rows_per_file: int | None = None
+    removed: bool = False
     observed: dict = field(default_factory=dict)
 
 
@@ -211,17 +215,10 @@ def _hashable(df: DataFrame) -> list[Column]:
     return out
 
 
-def _null_or_empty(df: DataFrame, keys: Sequence[str]):
-    types = {f.name: f.dataType for f in df.schema.fields}
-    conds = []
-    for k in keys:
-        c = F.col(k).isNull()
-        if isinstance(types.get(k), T.StringType):
-            c = c | (F.col(k) == F.lit(""))
-        conds.append(c)
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
+def _null_or_empty(df: DataFrame, keys: Sequence[str]) -> Column:
+    out = null_or_empty(df, keys[0])
+    for k in keys[1:]:
+        out = out | null_or_empty(df, k)
     return out
 
 
@@ -265,6 +262,7 @@ def prepare_export(
     hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
     placement_broadcast_bytes: int = PLACEMENT_BROADCAST_BYTES,
     file_cost_rows: int = FILE_COST_ROWS,
+    check_inside: bool = False,
 ) -> PreparedExport:
     """Plan the export: the returned ``frame`` is what the writer consumes.
 
@@ -279,6 +277,9 @@ def prepare_export(
     ``require`` is a predicate over key columns only that every row must
     satisfy (e.g. "the date is D"); it is checked on the per-tuple counts, so
     it costs no extra scan, and a violation raises before anything is written.
+
+    The other strategies have no such counts: they check in a pass before the write, or with
+    ``check_inside`` in the write itself, which then has to be one that shows nothing if it fails.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -289,18 +290,21 @@ def prepare_export(
     spark = df.sparkSession
     result = ExportResult(path="", keys=keys, overwrite="", strategy=strategy)
     body = df
+    inside = check_inside and strategy != "split"
+    if inside:
+        checks = [(null_or_empty(df, k), f"rows have a NULL or empty partition key {k!r}") for k in keys if validate_keys]
+        if require is not None:
+            checks.append((~F.coalesce(require, F.lit(False)), "rows fail the required condition"))
+        body = guarded(body, checks)
     observation = None
-    if observe_sum is not None:
+    if observe_sum is not None or inside:
         observation = Observation("export")
-        body = body.observe(
-            observation,
-            F.count(F.lit(1)).alias("rows"),
-            exact_total(df, observe_sum).alias("sum"),
-        )
+        total = [exact_total(df, observe_sum).alias("sum")] if observe_sum is not None else []
+        body = body.observe(observation, F.count(F.lit(1)).alias("rows"), *total)
     parallelism = spark.sparkContext.defaultParallelism
 
     if strategy != "split":
-        if validate_keys or require is not None:
+        if not inside and (validate_keys or require is not None):
             # One pass over the key columns for both checks and the row count.
             check = df.agg(
                 F.count(F.lit(1)).alias("rows"),
@@ -409,6 +413,14 @@ def prepare_export(
     return PreparedExport(out, result, observation, cached)
 
 
+def _observed(observation: Observation) -> dict:
+    """What was recorded during the write; a plan that the optimiser finds empty is dropped with its observation."""
+    try:
+        return dict(observation.get)
+    except (Py4JJavaError, AssertionError):
+        return {"rows": 0}
+
+
 def write_prepared(
     prep: PreparedExport,
     path: str,
@@ -437,21 +449,28 @@ def write_prepared(
         else:
             change = Replacement(frame.sparkSession, path, on_step)
             inside = "" if below is None else below.removeprefix(path.rstrip("/")).strip("/")
+            leaving: list[str] = []
             try:
-                _write(frame, f"{change.stage}/{inside}".rstrip("/"), keys, "all", limit, compression)
-                if below is not None:
-                    arriving = [inside]
-                else:
+                with violations_raise():
+                    _write(frame, f"{change.stage}/{inside}".rstrip("/"), keys, "all", limit, compression)
+                if result.rows is None and prep.observation is not None:
+                    result.rows = _observed(prep.observation)["rows"]
+                if below is None:
                     arriving = [""] if overwrite == "all" else change.staged_directories(len(keys))
+                elif result.rows == 0:
+                    arriving, leaving = [], [inside] if exists(frame.sparkSession, below) else []
+                else:
+                    arriving = [inside]
             except Exception:
                 change.discard()
                 raise
-            change.commit(arriving)
+            change.commit(arriving, leaving)
+            result.removed = bool(leaving)
     finally:
         prep.release()
     result.path, result.overwrite = path, overwrite
     if prep.observation is not None:
-        result.observed = dict(prep.observation.get)
+        result.observed = _observed(prep.observation)
         if result.rows is None:
             result.rows = result.observed.get("rows")
     return result
@@ -500,6 +519,7 @@ def export_partitioned(
         sort_within=sort_within,
         validate_keys=validate_keys,
         observe_sum=observe_sum,
+        check_inside=atomic,
     )
     return write_prepared(
         prep,

@@ -40,8 +40,8 @@ def replace_date(
     """Replace date ``extract_date`` under ``path`` by ``rows``.
 
     ``rows`` must all carry that date; the check rides on the export's counting
-    pass, and a violation raises before the target is modified, as do rows that
-    are read from the target.  ``keys`` are the dataset's partition columns; the date column
+    pass or, without one (``"direct"``), on the write, so the source is read once.  A violation
+    raises and leaves the target as it was, as do rows that are read from the target.  ``keys`` are the dataset's partition columns; the date column
     must be the first one.  With the date as the only key each input task writes its
     own rows (``"direct"``, no shuffle); with further keys the rows are co-located per
     tuple as in the export (``"split"``), one file per tuple up to the bound.
@@ -53,6 +53,8 @@ def replace_date(
     if reads_from(rows, path):
         raise ValueError(f"refusing to replace a date of {path!r} by rows read from it: write them elsewhere first")
     day = parse_date(extract_date)
+    target_dir = f"{path.rstrip('/')}/{date_column}={escape_value(day)}"
+    spark = rows.sparkSession
     try:
         prep = prepare_export(
             rows,
@@ -61,21 +63,21 @@ def replace_date(
             max_rows_per_file=max_rows_per_file,
             require=F.col(date_column).eqNullSafe(date_literal(day)),
             strategy=strategy,
+            check_inside=atomic,
         )
+        if prep.result.rows == 0:
+            prep.release()
+            there = paths.exists(spark, target_dir)
+            if there and atomic:
+                Replacement(spark, path, on_step).commit(arriving=(), leaving=(target_dir.rpartition("/")[2],))
+            elif there:
+                paths.delete_tree(spark, target_dir)
+            return {"rows": 0, "removed_partition": there}
+        res = write_prepared(prep, path, overwrite="partitions", below=target_dir, atomic=atomic, on_step=on_step)
     except ValueError as exc:
         if "required condition" in str(exc):
             raise ValueError(f"replacement rows are not all dated {day}: {exc}") from None
         raise
-    target_dir = f"{path.rstrip('/')}/{date_column}={escape_value(day)}"
-    if not prep.result.rows:
-        prep.release()
-        spark = rows.sparkSession
-        if not atomic:
-            return {"rows": 0, "removed_partition": paths.delete_tree(spark, target_dir)}
-        change = Replacement(spark, path, on_step)
-        there = paths.exists(spark, target_dir)
-        if there:
-            change.commit(arriving=(), leaving=(target_dir.rpartition("/")[2],))
-        return {"rows": 0, "removed_partition": there}
-    res = write_prepared(prep, path, overwrite="partitions", below=target_dir, atomic=atomic, on_step=on_step)
+    if not res.rows:
+        return {"rows": 0, "removed_partition": res.removed}
     return {"rows": res.rows, "removed_partition": False, "export": res}

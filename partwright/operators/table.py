@@ -2,7 +2,7 @@
 
 ``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY (extract_date)``
 with the fixed schema and a table comment.  Spark file tables do not
-enforce NOT NULL, so inserts go through the A8 contract first.  Clustering by
+enforce NOT NULL, so rows are held against it while an insert reads them.  Clustering by
 ``terr_cd, store_id`` deals rows out by ranges of (date, territory, store) and sorts
 each range: a file covers few territories, its row groups carry tight min/max
 statistics and point filters on those columns skip files and row groups.
@@ -21,8 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_literal, parse_date
 from ..schema import CLUSTER_COLUMNS, DATE_COLUMN, SALES_SCHEMA, TABLE_COMMENT, ddl_columns
-from .metrics import not_null_contract
-
+from .guard import guarded, null_or_empty, violations_raise
 
 # Table property that lists the NOT NULL columns; the catalog itself does not keep them for file tables.
 NOT_NULL_PROPERTY = "partwright.not_null"
@@ -69,13 +68,6 @@ def create_table(
     )
 
 
-def check_not_null(df: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] | None = None) -> None:
-    row = not_null_contract(df, keys=keys, columns=columns).first()
-    if row["violations"]:
-        bad = {k[5:]: v for k, v in row.asDict().items() if k.startswith("null_") and v}
-        raise ValueError(f"NOT NULL contract violated: {bad}")
-
-
 def _clustered(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Rows dealt by ranges of ``by``, sorted in each.
 
@@ -86,15 +78,17 @@ def _clustered(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> Data
     return rows.repartitionByRange(*by, F.xxhash64(*plain)).sortWithinPartitions(*by)
 
 
-def _checked(df: DataFrame, name: str, cluster_by: Sequence[str], enforce: bool) -> list[str]:
-    """Partition columns of the table, after the rows were held against its NOT NULL columns and keys."""
-    spark = df.sparkSession
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    if enforce:
-        known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").collect()}
-        required = json.loads(known.get(NOT_NULL_PROPERTY, "[]"))
-        check_not_null(df, keys=[*parts, *cluster_by], columns=required)
-    return parts
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _checked(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """``df``; a job that reads a row that breaks the table's NOT NULL columns or has no key fails."""
+    known = {r["key"]: r["value"] for r in df.sparkSession.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").collect()}
+    required = json.loads(known.get(NOT_NULL_PROPERTY, "[]"))
+    checks = [(null_or_empty(df, k), f"NOT NULL contract violated: key {k!r} is NULL or empty") for k in keys]
+    checks += [(F.col(c).isNull(), f"NOT NULL contract violated: {c!r}") for c in required if c not in keys and c in df.columns]
+    return guarded(df, checks)
 
 
 def insert_clustered(
@@ -110,12 +104,15 @@ def insert_clustered(
     ``overwrite_partitions=True`` replaces only the partitions the rows
     touch (dynamic overwrite; no rows replace nothing); otherwise rows are appended.  Columns
     are matched by name to the table's order.  Columns that the table declares NOT NULL must
-    hold no nulls, partition and cluster columns neither nulls nor empty texts.
+    hold no nulls, partition and cluster columns neither nulls nor empty texts; this is checked
+    while the rows are sampled for their ranges and written, without a pass of its own, and a
+    violation leaves the table as it was: either kind of insert shows its files at the end of the job.
     """
     spark = df.sparkSession
-    parts = _checked(df, name, cluster_by, enforce_not_null)
-    ordered = _clustered(df, spark.table(name).columns, [*parts, *cluster_by])
-    with _setting(spark, *DYNAMIC):
+    keys = [*_partition_columns(spark, name), *cluster_by]
+    rows = _checked(df, name, keys) if enforce_not_null else df
+    ordered = _clustered(rows, spark.table(name).columns, keys)
+    with _setting(spark, *DYNAMIC), violations_raise():
         ordered.write.insertInto(name, overwrite=overwrite_partitions)
 
 
@@ -131,21 +128,27 @@ def replace_table_date(
     """K5 on the catalog table: delete one date and insert its new rows; other dates stay.
 
     ``rows`` must all carry the date, else nothing is changed; no rows leave the date empty.
-    Spark refuses rows that are read from the table itself.  Idempotent.
+    Spark refuses rows that are read from the table itself.  Idempotent.  The date's old files
+    go when the new ones are all there (dynamic overwrite), so a failed job leaves them.
     """
     spark = rows.sparkSession
     day = parse_date(extract_date)
-    other = rows.filter(~F.col(date_column).eqNullSafe(date_literal(day))).limit(1)
-    if not other.isEmpty():
-        raise ValueError(f"replacement rows are not all dated {day}")
-    _checked(rows, name, cluster_by, enforce_not_null)
-    columns = [c for c in spark.table(name).columns if c != date_column]
-    ordered = _clustered(rows, columns, cluster_by)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {_quoted(name)} PARTITION (`{date_column}` = DATE '{day.isoformat()}') "
-        "SELECT * FROM {rows}",
-        rows=ordered,
-    )
+    other = ~F.col(date_column).eqNullSafe(date_literal(day))
+    checked = guarded(rows, [(other, f"replacement rows are not all dated {day}")])
+    if enforce_not_null:
+        checked = _checked(checked, name, [*_partition_columns(spark, name), *cluster_by])
+    if rows.isEmpty():
+        # A dynamic overwrite by no rows replaces nothing; one of the named date empties it.
+        columns = [c for c in spark.table(name).columns if c != date_column]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {_quoted(name)} PARTITION (`{date_column}` = DATE '{day.isoformat()}') "
+            "SELECT * FROM {rows}",
+            rows=rows.select(*columns),
+        )
+        return
+    ordered = _clustered(checked, spark.table(name).columns, cluster_by)
+    with _setting(spark, *DYNAMIC), violations_raise():
+        ordered.write.insertInto(name, overwrite=True)
 
 
 def clustering_report(spark: SparkSession, name: str, date_column: str = "extract_date", by: str = "terr_cd") -> DataFrame:
