@@ -14,7 +14,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,9 @@ from partwright.operators.table import (  # noqa: E402
     create_table,
     insert_clustered,
     replace_table_date,
+    skipping_report,
 )
+from partwright.plans.fingerprint import fingerprint_diff  # noqa: E402
 from partwright.plans.reconcile import (  # noqa: E402
     layout_report,
     partition_distribution,
@@ -414,6 +416,54 @@ def q_table_clustering(spark, sf_dir):
     return spark.createDataFrame(rows, "extract_date date, territories long, clustered boolean")
 
 
+# Files that each date of the clustering comparison gets, about.
+RANGES_A_DATE = 6
+
+
+def q_table_skipping(spark, sf_dir):
+    """Files that filters on territory and on store have to read, clustered one after the other and along the curve.
+
+    Every date has several files.  Along the curve a filter on the store alone reads fewer of them, one on either
+    column fewer than all.
+    """
+    view, reads = _view(spark, sf_dir), {}
+    dates = view.select("extract_date").distinct().count()
+    schema = view.select(*[c for c in view.columns if c != "extract_date"], "extract_date").schema
+    for name, curve in (("pw_linear", None), ("pw_curve", "z")):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        create_table(spark, name, schema=schema, location=scratch_path(spark, name))
+        insert_clustered(view, name, curve=curve, ranges=RANGES_A_DATE * dates)
+        found = skipping_report(spark, name)
+        reads[name] = found.groupBy("column").agg(
+            F.count(F.lit(1)).alias("dates"),
+            F.min("files").alias("fewest"),
+            F.sum("reads").alias("reads"),
+            F.sum(F.col("files") * F.col("values")).alias("all_files"),
+        ).collect()
+    linear, curve = ({r["column"]: r for r in reads[n]} for n in ("pw_linear", "pw_curve"))
+    rows = [
+        (c, curve[c].dates, curve[c].fewest > 1, linear[c].fewest > 1, curve[c].reads < curve[c].all_files, bool(c == "terr_cd" or curve[c].reads < linear[c].reads))
+        for c in ("terr_cd", "store_id")
+    ]
+    return spark.createDataFrame(
+        rows, "column string, dates long, curve_many boolean, linear_many boolean, skips boolean, gains boolean"
+    )
+
+
+def q_fingerprint_diff(spark, sf_dir):
+    """An export with changes that totals miss, rows left out and rows relabelled, and the tuples they are found in."""
+    day = _day(spark, sf_dir)
+    of_tuple = Window.partitionBy("terr_cd", "store_id", "extract_date")
+    first, last = F.min("order_id").over(of_tuple), F.max("order_id").over(of_tuple)
+    step = F.when(F.col("order_id") == first, 1).otherwise(0) - F.when(F.col("order_id") == last, 1).otherwise(0)
+    amount = F.when(F.col("store_id") == "STORE_0003", F.col("total_amt") + step).otherwise(F.col("total_amt"))
+    changed = day.withColumn("total_amt", amount.cast("decimal(18,2)")).filter("store_id <> 'STORE_0005'")
+    store = F.when(F.col("store_id") == "STORE_0007", "STORE_X7").otherwise(F.col("store_id"))
+    path = scratch_path(spark, "fingerprint_diff")
+    export_partitioned(changed.withColumn("store_id", store), path, overwrite="all")
+    return fingerprint_diff(spark, _view(spark, sf_dir), path, DAY)
+
+
 def q_table_replace_date(spark, sf_dir):
     name = _sales_table(spark, sf_dir, _view(spark, sf_dir))
     replace_table_date(_new_rows(spark, sf_dir), name, DAY)
@@ -469,7 +519,10 @@ def _llm():
     try:
         import corpus_pipeline
         from partwright.llm import queries as llm_queries
-    except ImportError:
+    except ModuleNotFoundError as missing:
+        # Only their absence is passed over; a package that they need and that is missing is an error.
+        if missing.name not in ("corpus_pipeline", "partwright.llm"):
+            raise
         return {}, {}
     pipeline = {"pipeline": corpus_pipeline.run}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
@@ -512,6 +565,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_split_bounds": q_hot_split_bounds,
     "replace_after_crash": q_replace_after_crash,
     "balanced_placement": q_balanced_placement,
+    "table_skipping": q_table_skipping,
+    "fingerprint_diff": q_fingerprint_diff,
 }
 
 
@@ -645,6 +700,16 @@ SELECT attempt::BIGINT AS attempt, step, recovery,
         + content * (SELECT COUNT(*) FROM s WHERE extract_date = {_D}))::DECIMAL(38,2) AS day_total,
        (SELECT COUNT(*) FROM s WHERE extract_date <> {_D})::BIGINT AS other_rows
 FROM a""",
+    "table_skipping": _S
+    + """, c AS (SELECT unnest(['terr_cd', 'store_id']) AS "column")
+SELECT "column", (SELECT COUNT(DISTINCT extract_date) FROM s)::BIGINT AS dates, true AS curve_many, true AS linear_many,
+       true AS skips, true AS gains FROM c""",
+    "fingerprint_diff": _S
+    + f""", k AS (SELECT terr_cd, store_id, extract_date, COUNT(*)::BIGINT AS n FROM s WHERE extract_date = {_D} GROUP BY ALL)
+SELECT terr_cd, store_id, extract_date, n AS source_rows, n AS exported_rows, 'content' AS difference
+FROM k WHERE store_id = 'STORE_0003' AND n > 1
+UNION ALL SELECT terr_cd, store_id, extract_date, n, 0, 'missing' FROM k WHERE store_id IN ('STORE_0005', 'STORE_0007')
+UNION ALL SELECT terr_cd, 'STORE_X7', extract_date, 0, n, 'extra' FROM k WHERE store_id = 'STORE_0007'""",
     "balanced_placement": f"""
 WITH z AS (SELECT floor({ZIPF_KEYS} / (1 + l_partkey * 7919 % {ZIPF_KEYS})) AS zipf, COUNT(*) AS n FROM lineitem GROUP BY 1)
 SELECT SUM(n)::BIGINT AS n_rows, COUNT(*)::BIGINT AS tuples,
