@@ -43,7 +43,7 @@ CELLS = 1 << 16
 CELL_ROWS = 16
 # Groups of more sets that share a rare shingle are tried against their first set before all against all.
 LEAD_GROUP = 64
-HELD_ROWS = 50_000
+HELD_ROWS = 16_000
 # A parity sketch has at least twice as many bits as its set has shingles, within these limits.
 SKETCH_BITS = (64, 8192)
 
