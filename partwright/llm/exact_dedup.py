@@ -3,8 +3,8 @@
 Sampled splitters range-partition the normalised bytes (a bounded prefix, then a
 digest, so that the sample on the driver never holds whole texts), the sort of
 each range places equal contents side by side, and each row is compared in full
-with its neighbour.  A content that holds at least ``hot_share`` of all rows is
-dealt into ``hot_runs`` runs, which are merged by a second, tiny aggregation.
+with its neighbour.  A content of many rows is dealt into runs of a bounded number of
+rows, which are merged by a second, tiny aggregation.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from partwright.llm.common import ascii_lower
+from partwright.llm.common import ascii_lower, quoted, written
 
 PREFIX_BYTES = 32
 
@@ -22,9 +22,9 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: str = "smallest",
-    hot_share: float = 0.001,
-    hot_rows: int = 1000,
-    hot_runs: int = 256,
+    hot_share: float = 0.000005,
+    hot_rows: int = 20_000,
+    hot_runs: int = 64,
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -33,25 +33,30 @@ def exact_dedup(
     A null id ranks behind every other id.  Of repeated rows with the same id and
     content exactly one is kept.  Other columns of ``df`` are ignored, whatever
     their names; an empty table gives an empty result.
+
+    A content is hot from ``hot_rows`` rows and ``hot_share`` of all rows; it is dealt into runs of
+    about that many, ``hot_runs`` at least.  So the tables of hot contents, which are broadcast, have at
+    most 1 / ``hot_share`` rows (some 20 MB), and a task's run grows by ``hot_share`` of the table only.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep must be smallest or largest, not {keep!r}")
     base = df.select(
-        F.col(id_col).alias("doc_id"),
-        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("content"),
+        quoted(id_col).alias("doc_id"),
+        ascii_lower(F.coalesce(quoted(text_col), F.lit(""))).alias("content"),
     ).withColumn("digest", F.xxhash64("content"))
 
-    # At most 1 / hot_share digests can each hold that share of the rows.
+    counts = base.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     least = max(hot_rows, int(df.count() * hot_share))
-    hot = [
-        r.digest
-        for r in base.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).collect()
-    ]
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(hot_runs)).cast("int")
+    runs = F.greatest(F.lit(hot_runs), F.ceil(F.col("n") / F.lit(least)))
+    listed = written(counts.filter(F.col("n") >= least).select("digest", runs.cast("int").alias("runs")), "hot_contents")
+    hot = not listed.isEmpty()
     keyed = base.withColumn("prefix", F.expr(f"substring(cast(content as binary), 1, {PREFIX_BYTES})"))
     block = ["prefix", "digest"]
     if hot:
-        keyed = keyed.withColumn("salt", F.when(F.col("digest").isin(hot), salt).otherwise(F.lit(-1)))
+        # Rows without an id are alike but for their place.
+        place = F.when(F.col("doc_id").isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64("doc_id"))
+        keyed = keyed.withColumn("place", place).join(F.broadcast(listed), "digest", "left")
+        keyed = keyed.withColumn("salt", F.coalesce(F.pmod("place", F.col("runs")).cast("int"), F.lit(-1))).drop("runs", "place")
         block.append("salt")
     # The windows below are over exactly the ranged columns, so they need no other exchange.
     ranged = keyed.repartitionByRange(*block)
@@ -68,9 +73,9 @@ def exact_dedup(
         F.row_number().over(neighbours).alias("pos"),
     )
     in_order = Window.partitionBy(*block).orderBy("pos")
-    runs = compared.withColumn("run", F.sum(F.col("first").cast("int")).over(in_order))
+    numbered = compared.withColumn("run", F.sum(F.col("first").cast("int")).over(in_order))
     whole = Window.partitionBy(*block, "run")
-    rows = runs.select(
+    rows = numbered.select(
         "doc_id",
         *block[2:],
         "text_sha256",

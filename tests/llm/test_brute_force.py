@@ -101,3 +101,19 @@ def test_chunk_dedup_equals_a_dictionary_of_chunks(spark):
     got = {r.doc_id: (r.n_repeated, bytes(r.kept)) for r in C.chunk_dedup(rows).collect()}
     assert got == want
     assert any(n for n, _ in want.values())
+
+
+def test_hot_contents_follow_their_rows(spark):
+    """A hot content without ids, one with ids and cold ones: runs merge to one group each."""
+    from partwright.llm.exact_dedup import exact_dedup
+
+    rows = [(None, "Hot")] * 900 + [(i, "warm") for i in range(500)] + [(1000 + i, f"cold {i % 40}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for hot_rows in (10, 100, 10_000):
+        out = exact_dedup(df, hot_rows=hot_rows, hot_runs=2, hot_share=0.0).collect()
+        assert len(out) == len(rows)
+        sizes = {r.text_sha256: r.group_size for r in out}
+        assert sorted(sizes.values()) == [2] * 40 + [500, 900]
+        assert sum(r.kept for r in out) == 42
+        assert all((r.keep_id is None) == (r.group_size == 900) for r in out)
+        assert {r.keep_id for r in out if r.group_size == 500} == {0}
