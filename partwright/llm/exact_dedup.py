@@ -88,10 +88,14 @@ def exact_dedup(
         merged = (
             rows.filter((F.col("salt") >= 0) & F.col("first"))
             .groupBy("text_sha256")
-            .agg(best("run_keep").alias("all_keep"), F.sum("run_size").alias("all_size"))
+            .agg(best("run_keep").alias("all_keep"), F.sum("run_size").alias("all_size"), F.min("salt").alias("all_salt"))
         )
         rows = rows.join(F.broadcast(merged), "text_sha256", "left")
-        first = F.col("first") & (F.col("all_size").isNull() | F.col("run_keep").eqNullSafe(F.col("all_keep")))
+        # Rows of one id are in one run; without any id the first run's row stays.
+        one = F.col("run_keep").eqNullSafe(F.col("all_keep")) & (
+            F.col("all_keep").isNotNull() | (F.col("salt") == F.col("all_salt"))
+        )
+        first = F.col("first") & (F.col("all_size").isNull() | one)
         keep_id = F.when(F.col("all_size").isNull(), F.col("run_keep")).otherwise(F.col("all_keep"))
         size = F.coalesce("all_size", "run_size")
     else:
