@@ -57,7 +57,7 @@ STAGES = [
     ("mix_sources", mix),
 ]
 
-# The classifier, the similarity join and BM25 are beyond SQL; tests/llm holds brute-force twins.
+# The classifier, the similarity join and BM25 are beyond SQL; tests/llm holds the stages against plain Python.
 ORACLE_SQL = None
 
 

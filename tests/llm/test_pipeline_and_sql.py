@@ -56,3 +56,71 @@ def test_pipeline_on_empty_documents(spark, tmp_path):
         rows = spark.read.parquet(f"{SF}/{table}.parquet")
         (rows.limit(0) if table == "documents" else rows).write.parquet(f"{tmp_path}/{table}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def _az(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def _words(text):
+    return [w for w in "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in text or "").split(" ") if w]
+
+
+def _line_twin(docs):
+    held = collections.defaultdict(set)
+    key = lambda line: _az(line.strip(" \t\n\x0b\x0c\r"))
+    for i, text in docs.items():
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20:
+                held[key(line)].add(i)
+    gone = {k: max(ids) for k, ids in held.items() if len(ids) >= 3}
+    return {i: "\n".join(x for x in (t or "").split("\n") if gone.get(key(x), i) == i) for i, t in docs.items()}
+
+
+def _near_twin(docs):
+    sets, root = {}, {i: i for i in docs}
+    for i, text in docs.items():
+        w = _words(_az(text or ""))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in docs:
+        for b in docs:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: t for i, t in docs.items() if not sets[i] or find(i) == i}
+
+
+def test_stages_equal_plain_python(spark):
+    """Quality by the model in numpy, lines and near copies by brute force, leaks by whole items, the mix by its sums."""
+    from partwright.llm import quality as Q
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    model = Q.fit_quality(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    names = [Q._PREFIX + s for s in Q.STATISTICS]
+    table = Q.with_statistics(docs.select("doc_id", "text")).select("doc_id", "text", *names).toPandas()
+    good = model.score(table[names].to_numpy(float)) >= 0.3
+    want = {int(i): t for i, t, ok in zip(table["doc_id"], table["text"], good, strict=True) if ok}
+    for name, twin in (("quality_classifier", None), ("line_dedup", _line_twin), ("ngram_join", _near_twin)):
+        docs = corpus_pipeline.written(stages[name](spark, docs, SF), f"twin_{name}")
+        want = twin(want) if twin else want
+        assert {r.doc_id: r.text for r in docs.collect()} == want, name
+    items = [" ".join(_words(_az(r.text))) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    whole = {i for i, t in want.items() if any(x in " ".join(_words(_az(t or ""))) for x in items if len(x.split()) > 8)}
+    left = corpus_pipeline.written(stages["decontaminate"](spark, docs, SF), "twin_leaks")
+    kept = {r.doc_id for r in left.collect()}
+    assert not kept & whole and kept <= set(want) and len(kept) >= 0.9 * (len(want) - len(whole))
+    sizes, taken = collections.Counter(), collections.Counter()
+    for r in left.collect():
+        sizes[r.source] += len(_words(r.text))
+    mixed = stages["mix_sources"](spark, left, SF).collect()
+    for r in mixed:
+        taken[r.source] += r["take"]
+        assert r.copy < 3 and 0 < r["take"] <= r.size
+    assert all(abs(taken[r.source] - r.target) <= 1 for r in mixed) and sum(sizes.values()) - len(sizes) <= sum(taken.values()) <= sum(sizes.values())
