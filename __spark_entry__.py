@@ -521,7 +521,7 @@ def _llm():
         from partwright.llm import queries as llm_queries
     except ModuleNotFoundError as missing:
         # Only their absence is passed over; a package that they need and that is missing is an error.
-        if missing.name not in ("corpus_pipeline", "partwright.llm"):
+        if missing.name != "corpus_pipeline" and not (missing.name or "").startswith("partwright.llm"):
             raise
         return {}, {}
     pipeline = {"pipeline": corpus_pipeline.run}
