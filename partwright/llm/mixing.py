@@ -23,7 +23,7 @@ MAX_REPEATS = 3
 SCHEDULES = {5: (1.5, 1.0, 0.5), 2: (1.0, 1.0, 1.0), 1: (0.5, 1.0, 1.5)}
 # Prefix sums are taken in two levels: sums of a source's bins (leading hex digits of the order), then rows
 # within a bin.  The number of digits follows the table, so that a bin of the largest source has about so many rows.
-BIN_ROWS = 20_000
+BIN_ROWS = 2_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
