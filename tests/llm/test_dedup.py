@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partwright.llm.chunk_dedup import chunk_dedup, chunk_ends
+from partwright.llm.common import written
 from partwright.llm.exact_dedup import exact_dedup
 from partwright.llm.line_dedup import PerfectHash, line_dedup, line_key
 from partwright.llm.suffix_dedup import suffix_dedup
@@ -110,6 +111,53 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     assert got[2]
 
 
+def test_rows_of_a_hot_bucket_meet_in_no_task(spark, monkeypatch):
+    import partwright.llm.suffix_dedup as module
+
+    seen = {}
+
+    def keep(df, name):
+        seen[name] = written(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(module, "written", keep)
+    monkeypatch.setattr(module, "HOT_ROWS", 3, raising=False)
+    rng = random.Random(4)
+    passage = text(rng, 150)
+    # A passage of one repeated word has one least q-gram, and so one bucket, in each of its periods.
+    rows = [(i, f"{text(rng, 40)} {passage} {text(rng, 40)} {'very ' * 200}{text(rng, 40)}") for i in range(40)]
+    texts = [t.encode() for _, t in rows]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bucket_runs in (20_000, 2):
+            got = suffix_dedup(frame(spark, rows), bucket_runs=bucket_runs).collect()
+            assert {r.doc_id: [(s.start, s.end) for s in r.spans] for r in got} == {
+                i: s for (i, _), s in zip(rows, covered(texts, 400), strict=True)
+            }
+            # Rows of a bucket that is shuffled are written by one task.
+            runs = seen["shared_runs"].withColumn("file", F.input_file_name())
+            buckets = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"))
+            n, files = buckets.orderBy(F.desc("n")).select("n", "files").first()
+            assert n > 1000 and files > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_counted_joins_hot_keys_where_their_rows_are(spark, monkeypatch):
+    import partwright.llm.suffix_dedup as module
+
+    monkeypatch.setattr(module, "HOT_ROWS", 5)
+    rows = [(k, i) for k, n in ((1, 40), (2, 4), (3, 1), (4, 5)) for i in range(n)]
+    df = spark.createDataFrame(rows, "key long, place long").repartition(4, "place")
+    counts = df.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    got = module.counted(df, counts, ["key"]).withColumn("task", F.spark_partition_id()).collect()
+    assert collections.Counter((r.key, r.place, r.n) for r in got) == collections.Counter(
+        (k, i, n) for k, n in ((1, 40), (2, 4), (4, 5)) for i in range(n)
+    )
+    assert len({r.task for r in got if r.key == 1}) > 1
+
+
 def test_line_dedup(spark):
     rows = corpus()
     holders = collections.defaultdict(set)
